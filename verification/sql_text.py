@@ -31,15 +31,13 @@ sent AS (
   SELECT f0.*, 0 AS resent FROM f0
   UNION ALL SELECT f0.* REPLACE (arrival_delay_min + 1 AS arrival_delay_min), 1 AS resent FROM f0 WHERE l_returnflag = 'R'),
 causes AS (
-  SELECT s.* REPLACE (CASE WHEN resent = 1 THEN arrival_delay_min ELSE arrival_delay_min END AS arrival_delay_min),
-         arrival_delay_min - resent AS first_delay
-  FROM sent s),
+  SELECT *, arrival_delay_min - resent AS first_delay FROM sent),
 arrivals AS (
   SELECT * EXCLUDE (first_delay),
     CASE WHEN first_delay >= 15 THEN CASE l_partkey % 5 WHEN 0 THEN first_delay WHEN 1 THEN first_delay - 10 ELSE 0 END END AS carrier_delay_min,
     CASE WHEN first_delay >= 15 THEN CASE l_partkey % 5 WHEN 1 THEN 10 WHEN 2 THEN first_delay ELSE 0 END END AS weather_delay_min,
     CASE WHEN first_delay >= 15 THEN CASE l_partkey % 5 WHEN 3 THEN first_delay ELSE 0 END END AS nas_delay_min,
-    CASE WHEN first_delay >= 15 THEN CASE l_partkey % 100 WHEN 4 THEN 5.0 ELSE 0 END END AS security_delay_min,
+    CASE WHEN first_delay >= 15 THEN CASE l_partkey % 100 WHEN 4 THEN CAST(5 AS DOUBLE) ELSE 0 END END AS security_delay_min,
     CASE WHEN first_delay >= 15 THEN
       CASE l_partkey % 5 WHEN 4 THEN first_delay - CASE l_partkey % 100 WHEN 4 THEN 5 ELSE 0 END ELSE 0 END
       + CASE WHEN l_linenumber = 7 AND l_partkey % 2 = 0 THEN 8 ELSE 0 END END AS late_aircraft_delay_min
@@ -80,7 +78,7 @@ rawt AS (
          CAST("year" AS VARCHAR) AS "Year", CAST("month" AS VARCHAR) || '.0' AS "Month",
          CAST(EXTRACT(DAY FROM flight_date) AS VARCHAR) AS "DayofMonth",
          CAST(isodow(flight_date) AS VARCHAR) AS "DayOfWeek",
-         * EXCLUDE (l_returnflag)
+         "year" AS y, "month" AS m, * EXCLUDE (l_returnflag, "year", "month")
   FROM arrivals),
 cast_rows AS (
   SELECT TRY_CAST("FlightDate" AS DATE) AS flight_date, carrier_code, flight_number, origin_airport, dest_airport,
@@ -92,7 +90,7 @@ cast_rows AS (
          COALESCE(TRY_CAST("Diverted" AS DOUBLE) <> 0, FALSE) AS is_diverted,
          scheduled_duration_min, actual_duration_min, air_time_min,
          CASE WHEN l_partkey % 67 = 0 THEN NULL ELSE TRY_CAST("Distance" AS DOUBLE) END AS distance_miles,
-         "year", "month", CAST("DayofMonth" AS INT) AS day_of_month, CAST("DayOfWeek" AS INT) AS day_of_week,
+         y AS "year", m AS "month", CAST("DayofMonth" AS INT) AS day_of_month, CAST("DayOfWeek" AS INT) AS day_of_week,
          resent, l_orderkey, l_linenumber, l_partkey, l_suppkey
   FROM rawt),
 unique_rows AS (
