@@ -114,19 +114,30 @@ def refresh_summaries(warehouse, years):
     """Recompute the summary tables for the given years. A summary that cannot be built is
     reported and does not keep the others from being refreshed."""
     problems = {}
+    facts = warehouse.facts().filter(F.col("year").isin(list(years)))
     for name, build in SUMMARIES.items():
         try:
-            for year in years:
-                facts = warehouse.facts().filter(F.col("year") == year)
-                build(warehouse, facts).drop("year").write.mode("overwrite").parquet(
-                    f"{warehouse.path(name)}/year={year}"
-                )
+            _replace_years(warehouse, name, build(warehouse, facts), years)
         except Exception as error:  # noqa: BLE001 - whatever the cause, the load stands
             log.warning("could not refresh %s: %s", name, error)
             problems[name] = str(error)
     return problems
 
 
+def _replace_years(warehouse, table, summary, years):
+    """Make the years of a summary table consist of `summary`; a year without rows ends up empty."""
+    built = work_folder(warehouse.spark, table)
+    summary.write.parquet(built)
+    rows = warehouse.spark.read.parquet(built)
+    rows.hint("rebalance", "year").write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy("year").parquet(warehouse.path(table))
+    filled = {r["year"] for r in rows.select("year").distinct().collect()}
+    for year in set(years) - filled:
+        rows.limit(0).drop("year").write.mode("overwrite").parquet(
+            f"{warehouse.path(table)}/year={year}")
+
+
 def ensure_calendar(warehouse, first=schema.CALENDAR_START, last=schema.CALENDAR_END):
     """Append the days the calendar table lacks."""
     spark = warehouse.spark
