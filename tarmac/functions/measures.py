@@ -41,8 +41,8 @@ def percent(part: Column, whole: Column, digits=2) -> Column:
     return rounded(F.lit(100.0) * part / F.nullif(whole, F.lit(0)), digits)
 
 
-def percentile(value: Column, p: float, weight: Column, digits=2) -> Column:
-    """Exact continuous percentile of a histogram (value, weight), interpolated as
-    PERCENTILE_CONT does. Feeding it counts instead of rows keeps the state per group at the
-    number of distinct minutes."""
-    return rounded(F.percentile(value.cast("double"), F.lit(p), weight), digits)
+def percentiles(value: Column, shares: list, weight: Column) -> Column:
+    """Exact continuous percentiles of a histogram (value, weight), interpolated as PERCENTILE_CONT
+    does, as one array. Feeding it counts instead of rows keeps the state per group at the number
+    of distinct minutes."""
+    return F.percentile(value.cast("double"), F.array(*[F.lit(p) for p in shares]), weight)

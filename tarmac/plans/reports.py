@@ -70,7 +70,7 @@ def worst_routes(flights, dim_airports, year=2023, min_flights=100, top=20):
             F.sum("flights").alias("total_flights"),
             m.mean(F.sum(delay * F.col("flights")),
                    F.sum(F.when(delay.isNotNull(), F.col("flights")))).alias("avg_delay_min"),
-            m.percentile(delay, 0.9, F.col("flights")).alias("p90_delay_min"),
+            m.rounded(m.percentiles(delay, [0.9], F.col("flights"))[0], 2).alias("p90_delay_min"),
             m.percent(F.sum("late"), F.sum("flights")).alias("pct_delayed"),
         )
         .filter(F.col("total_flights") >= min_flights)

@@ -129,12 +129,15 @@ def route_analysis(flights, dim_airports, min_flights=50):
             F.sum("flights").alias("total_flights"),
             m.mean(F.sum(delay * F.col("flown")),
                    F.sum(F.when(delay.isNotNull(), F.col("flown")))).alias("avg_delay_min"),
-            m.percentile(delay, 0.5, F.col("flights")).alias("median_delay_min"),
-            m.percentile(delay, 0.9, F.col("flights")).alias("p90_delay_min"),
+            m.percentiles(delay, [0.5, 0.9], F.col("flights")).alias("delays"),
             m.mean(F.sum("dist_sum"), F.sum("dist_n"), 0).alias("avg_distance_miles"),
             F.count_distinct("carrier_code").alias("carrier_count"),
         )
         .filter(F.col("total_flights") >= min_flights)
+        .withColumns({
+            "median_delay_min": m.rounded(F.col("delays")[0], 2),
+            "p90_delay_min": m.rounded(F.col("delays")[1], 2),
+        })
     )
     return with_route_places(per_route, dim_airports, "city", "state_code").select(
         "route", "origin_airport", "dest_airport", "origin_city", "origin_state", "dest_city",

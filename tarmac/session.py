@@ -7,12 +7,17 @@ from pyspark.sql import SparkSession
 
 
 def local_session(cores="*", shuffle_partitions=8, app="tarmac"):
-    """A single-machine session; on a cluster the submitter configures its own."""
+    """A single-machine session; on a cluster the submitter configures its own.
+
+    The method limit is worth setting there too: the JVM never compiles a method above 8000 bytes
+    of code, so Spark had better split wide projections than fuse them into one.
+    """
     return (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .getOrCreate()

@@ -120,9 +120,7 @@ def raw_text(spark, folder, dirty=True):
         "day_of_month": F.dayofmonth("flight_date"),
         "day_of_week": F.weekday("flight_date") + 1,
     })
-    number = "CAST(CAST({c} AS INT) AS STRING) || '.00'"
     text = {c: "CAST({c} AS STRING)" for c in names}
-    text.update({c: number for c in schema.MEASURE_COLUMNS})
     text.update({c: "lpad(CAST({c} AS STRING), 4, '0')" for c in schema.CLOCK_COLUMNS})
     text.update({c: "CASE WHEN {c} THEN '1.00' ELSE '0.00' END" for c in schema.FLAG_COLUMNS})
     text["flight_number"] = "lpad({c}, 4, '0')"

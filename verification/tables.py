@@ -345,8 +345,9 @@ FROM f GROUP BY route""")
 def agg_percentiles(spark, folder):
     delay, n = F.col("arrival_delay_min"), F.col("flights")
     return summaries.delay_histogram(sample.flights(spark, folder), "route").groupBy("route").agg(
-        m.percentile(delay, 0.5, n).alias("median_delay"),
-        m.percentile(delay, 0.9, n).alias("p90_delay"))
+        m.percentiles(delay, [0.5, 0.9], n).alias("delays"),
+    ).select("route", m.rounded(F.col("delays")[0], 2).alias("median_delay"),
+             m.rounded(F.col("delays")[1], 2).alias("p90_delay"))
 
 
 @query("agg_count_distinct", """
