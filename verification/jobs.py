@@ -162,8 +162,8 @@ def stream_ingest(spark, folder):
     for delivery in (0, 1):
         text.filter(F.col("resent") == delivery).select(*names).write.mode("append").csv(
             landing, header=True)
-        ingest.ingest_stream(store, landing, checkpoint, names)
-    ingest.ingest_stream(store, landing, checkpoint, names)
+        ingest.ingest_stream(store, landing, checkpoint)
+    ingest.ingest_stream(store, landing, checkpoint)
     return store.facts().groupBy("year", "month").agg(
         F.count("*").alias("flights"), F.sum("arrival_delay_min").alias("arrival_sum"))
 
