@@ -50,6 +50,24 @@ def quality_rows(results, run_id, table="fact_flights", checked_at=None):
     )
 
 
+def count_rows(facts, year=None, month=None):
+    """Rows, and how many of them lack a required value or lie outside the month."""
+    unusable = F.lit(False)
+    for c in schema.FACT_NOT_NULL:
+        unusable = unusable | F.col(c).isNull()
+    if year is not None:
+        unusable = unusable | F.coalesce(
+            (F.col("year") != year) | (F.col("month") != month), F.lit(True))
+    return facts.agg(
+        F.count("*").alias("n"), F.count_if(unusable).alias("unusable")).first()
+
+
+def refuse_unusable(seen, period="any month"):
+    if seen["unusable"]:
+        raise ValueError(
+            f"{seen['unusable']} rows lack a required value or lie outside {period}")
+
+
 def upsert_dimensions(warehouse, flights):
     """Append the carriers and airports seen for the first time."""
     carriers = dimensions.new_carrier_rows(flights, warehouse.carriers())
@@ -72,20 +90,14 @@ def load_month(warehouse, flights, source_file, year, month, overwrite=False, ru
     if existing and not overwrite:
         warehouse.append(audit_run(spark, status="skipped", **run), "pipeline_runs")
         return {"skipped": True, "existing_rows": existing}
-    counts = {}
+    counts = {"rows_extracted": rows_extracted or 0}
     try:
         facts = flights.transform(wh.to_facts)
-        unusable = F.coalesce((F.col("year") != year) | (F.col("month") != month), F.lit(True))
-        for c in schema.FACT_NOT_NULL:
-            unusable = unusable | F.col(c).isNull()
-        seen = facts.agg(F.count("*").alias("n"), F.count_if(unusable).alias("bad")).first()
+        seen = count_rows(facts, year, month)
         extracted = seen["n"] if rows_extracted is None else rows_extracted
         counts = {"rows_extracted": extracted, "rows_validated": seen["n"],
                   "rows_rejected": extracted - seen["n"]}
-        if seen["bad"]:
-            raise ValueError(
-                f"{seen['bad']} rows lack a required value or lie outside {year}-{month:02d}"
-            )
+        refuse_unusable(seen, f"{year}-{month:02d}")
         upsert_dimensions(warehouse, facts)
         keyed = wh.loadable_facts(facts, warehouse.carriers(), warehouse.airports())
         wh.replace_month(keyed, warehouse.path("fact_flights"), year, month)

@@ -140,6 +140,8 @@ def write_months(df, path, max_rows_per_file=5_000_000):
     of even size: large months are split over tasks, small ones are not scattered."""
     (
         df.hint("rebalance", "year", "month")
+        .sortWithinPartitions("year", "month", *[
+            c for c in ("carrier_code", "origin_airport") if c in df.columns])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", max_rows_per_file)
