@@ -9,6 +9,7 @@ from tarmac.plans import load
 from tarmac.plans import warehouse as wh
 from tarmac.session import work_folder
 from tarmac.sources import sample_flights as sample
+from tarmac.sources.raw import read_flight_files
 from tarmac.streaming import ingest
 from verification.registry import query
 from verification.reports import MONTHLY_SQL
@@ -25,10 +26,19 @@ def _warehouse(spark):
 
 
 def _month(spark, folder):
-    """Cleaned flights of one month."""
-    year, month = PERIOD
-    flights = sample.flights(spark, folder, year).filter(F.col("month") == month)
-    return flights.transform(clean.keep_valid_airports).withColumn("source_file", F.lit("march"))
+    """All flights, cleaned, as if they were those of one month."""
+    flights = sample.flights(spark, folder).transform(clean.keep_valid_airports)
+    return flights.withColumns({
+        "year": F.lit(PERIOD[0]).cast("smallint"), "month": F.lit(PERIOD[1]).cast("smallint"),
+        "source_file": F.lit("march")})
+
+
+def _deliveries(spark, folder):
+    """Raw text of all arrivals in two parts: flights, then corrections. A flight number per row
+    leaves no doubt about which flight a correction is for."""
+    text = sample.raw_text(spark, folder, dirty=False).withColumn(
+        "Flight_Number_Reporting_Airline", F.concat_ws("-", *ID))
+    return [text.filter(F.col("resent") == n).select(*schema.RAW_TO_CANONICAL) for n in (0, 1)]
 
 
 # --- loads ----------------------------------------------------------------------------------
@@ -58,7 +68,7 @@ RUN_COLUMNS = ["status", "year", "month", "rows_extracted", "rows_validated", "r
 
 
 @query("load_skip_existing", f"""
-, n AS (SELECT COUNT(*) AS n FROM f WHERE {IN_PERIOD} AND {LOADABLE})
+, n AS (SELECT COUNT(*) AS n FROM f WHERE {LOADABLE})
 SELECT 'success' AS status, 1998 AS "year", 3 AS "month", n AS rows_extracted, n AS rows_validated, n AS rows_loaded,
        CAST(0 AS BIGINT) AS rows_rejected, 'march' AS source_file FROM n
 UNION ALL SELECT 'skipped', 1998, 3, 0, 0, 0, 0, 'march'""")
@@ -71,9 +81,9 @@ def load_skip_existing(spark, folder):
 
 
 @query("load_month", f"""
-SELECT flight_date, carrier_code, carrier_id, flight_number, route, arrival_delay_min, delay_category, "year", "month"
-FROM f JOIN ({CARRIER_IDS.replace('SELECT carrier_code FROM carriers', f'SELECT DISTINCT carrier_code FROM f WHERE {IN_PERIOD} AND {LOADABLE}')}) USING (carrier_code)
-WHERE {IN_PERIOD} AND {LOADABLE}""")
+SELECT flight_date, carrier_code, carrier_id, flight_number, route, arrival_delay_min, delay_category, 1998 AS "year", 3 AS "month"
+FROM f JOIN ({CARRIER_IDS.replace('SELECT carrier_code FROM carriers', f'SELECT DISTINCT carrier_code FROM f WHERE {LOADABLE}')}) USING (carrier_code)
+WHERE {LOADABLE}""")
 def load_month(spark, folder):
     """Load a month twice, the second time replacing the first."""
     store = _warehouse(spark)
@@ -86,7 +96,7 @@ def load_month(spark, folder):
 
 
 @query("audit_run_row", f"""
-, n AS (SELECT COUNT(*) AS n FROM f WHERE {IN_PERIOD} AND {LOADABLE})
+, n AS (SELECT COUNT(*) AS n FROM f WHERE {LOADABLE})
 SELECT 'success' AS status, 1998 AS "year", 3 AS "month", n AS rows_extracted, n AS rows_loaded, 0 AS has_error FROM n
 UNION ALL SELECT 'failed', 1998, 4, n, 0, 1 FROM n""")
 def audit_run_row(spark, folder):
@@ -103,32 +113,33 @@ def audit_run_row(spark, folder):
         F.col("error_message").isNotNull().cast("int").alias("has_error"))
 
 
+LATEST = """SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber, l_partkey, l_suppkey, flight_date
+    ORDER BY resent DESC) AS rn FROM arrivals"""
+
+
 @query("run_month", f"""
-, sent_rows AS (SELECT * FROM arrivals WHERE {IN_PERIOD}),
-u AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY flight_date, carrier_code, flight_number, origin_airport,
-        dest_airport ORDER BY resent DESC, l_orderkey DESC, l_linenumber DESC, l_partkey DESC, l_suppkey DESC) AS rn
-      FROM sent_rows) WHERE rn = 1),
-v AS (SELECT * FROM u WHERE {LOADABLE})
-SELECT 'success' AS status, (SELECT COUNT(*) FROM sent_rows) AS rows_extracted, COUNT(*) AS rows_loaded,
-       (SELECT COUNT(*) FROM sent_rows) - COUNT(*) AS rows_rejected, SUM(arrival_delay_min) AS arrival_sum,
-       CAST(12 AS BIGINT) AS checks_stored FROM v""")
+SELECT 'success' AS status, (SELECT COUNT(*) FROM arrivals) AS rows_extracted, COUNT(*) AS rows_loaded,
+       (SELECT COUNT(*) FROM arrivals) - COUNT(*) AS rows_rejected, SUM(arrival_delay_min) AS arrival_sum,
+       CAST(12 AS BIGINT) AS checks_stored, COUNT(DISTINCT carrier_code) AS carriers_summarised
+FROM ({LATEST}) WHERE rn = 1 AND {LOADABLE}""")
 def run_month(spark, folder):
-    """Raw text of one month through cleaning, checks, load and refresh."""
+    """All arrivals as the CSV files of one month, through cleaning, checks, load and refresh."""
     store = _warehouse(spark)
     load.ensure_calendar(store, *sample.CALENDAR)
-    raw = sample.raw_text(spark, folder, dirty=False).filter(
-        (F.col("Year") == str(PERIOD[0])) & (F.col("Month") == f"{PERIOD[1]}.0"))
-    load.run_month(store, raw.withColumn("source_file", F.lit("march")), *PERIOD,
-                   source_file="march", order=sample.ARRIVAL_ORDER)
+    landing = work_folder(spark, "landing")
+    for part in _deliveries(spark, folder):
+        as_month = part.withColumns({
+            "Year": F.lit(str(PERIOD[0])), "Month": F.lit(f"{PERIOD[1]}.0")})
+        as_month.write.mode("append").csv(landing, header=True)
+    load.run_month(store, read_flight_files(spark, landing), *PERIOD, source_file=landing)
     run = store.runs().select("status", "rows_extracted", "rows_loaded", "rows_rejected")
     facts = store.facts().agg(F.sum("arrival_delay_min").alias("arrival_sum"))
     checks = store.read("data_quality_results").agg(F.count("*").alias("checks_stored"))
-    names = [*run.columns, "arrival_sum", "checks_stored"]
-    return (
-        run.unionByName(facts, allowMissingColumns=True)
-        .unionByName(checks, allowMissingColumns=True)
-        .agg(*[F.max(c).alias(c) for c in names])
-    )
+    summary = store.read("mv_carrier_performance").agg(F.count("*").alias("carriers_summarised"))
+    names = [*run.columns, "arrival_sum", "checks_stored", "carriers_summarised"]
+    for one_row in (facts, checks, summary):
+        run = run.unionByName(one_row, allowMissingColumns=True)
+    return run.agg(*[F.max(c).alias(c) for c in names])
 
 
 @query("mv_refresh", MONTHLY_SQL)
@@ -145,23 +156,15 @@ def mv_refresh(spark, folder):
 
 
 @query("stream_ingest", f"""
-SELECT "year", "month", COUNT(*) AS flights, SUM(arrival_delay_min) AS arrival_sum FROM (
-  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber, l_partkey, l_suppkey, flight_date
-    ORDER BY resent DESC) AS rn FROM arrivals WHERE {LOADABLE}) WHERE rn = 1
-GROUP BY "year", "month" """)
+SELECT "year", "month", COUNT(*) AS flights, SUM(arrival_delay_min) AS arrival_sum
+FROM ({LATEST}) WHERE rn = 1 AND {LOADABLE} GROUP BY "year", "month" """)
 def stream_ingest(spark, folder):
     """Two deliveries of CSV files, the second with the corrections, ingested one after the other;
     a third call finds nothing new."""
     store = _warehouse(spark)
     landing, checkpoint = work_folder(spark, "landing"), work_folder(spark, "progress")
-    # A flight number per row: which of two flights with one key is the later would else depend on
-    # the order of rows in the files.
-    text = sample.raw_text(spark, folder, dirty=False).withColumn(
-        "Flight_Number_Reporting_Airline", F.concat_ws("-", *ID))
-    names = list(schema.RAW_TO_CANONICAL)
-    for delivery in (0, 1):
-        text.filter(F.col("resent") == delivery).select(*names).write.mode("append").csv(
-            landing, header=True)
+    for part in _deliveries(spark, folder):
+        part.write.mode("append").csv(landing, header=True)
         ingest.ingest_stream(store, landing, checkpoint)
     ingest.ingest_stream(store, landing, checkpoint)
     return store.facts().groupBy("year", "month").agg(
