@@ -181,6 +181,7 @@ def run_month(warehouse, raw, year, month, source_file=None, order=("input_order
             .transform(clean.remove_duplicates, order)
             .withColumn("_valid", clean.airports_valid())
             .transform(clean.derive_columns)
+            .drop("input_order")
             .write.parquet(stored)
         )
         unique = spark.read.parquet(stored)

@@ -27,10 +27,13 @@ def _warehouse(spark):
 
 def _month(spark, folder):
     """All flights, cleaned, as if they were those of one month."""
+    stored = work_folder(spark, "cleaned")
     flights = sample.flights(spark, folder).transform(clean.keep_valid_airports)
-    return flights.withColumns({
+    flights.withColumns({
         "year": F.lit(PERIOD[0]).cast("smallint"), "month": F.lit(PERIOD[1]).cast("smallint"),
-        "source_file": F.lit("march")})
+        "source_file": F.lit("march"),
+    }).write.option("maxRecordsPerFile", 100_000).parquet(stored)  # several files, several tasks
+    return spark.read.parquet(stored)
 
 
 def _deliveries(spark, folder):
@@ -189,7 +192,7 @@ def feature_rows(spark, folder):
 
 def stored_features(spark, folder):
     stored = work_folder(spark, "features")
-    feature_rows(spark, folder).write.parquet(stored)
+    feature_rows(spark, folder).write.option("maxRecordsPerFile", 100_000).parquet(stored)
     return spark.read.parquet(stored)
 
 
