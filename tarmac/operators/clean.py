@@ -55,12 +55,11 @@ def cast_columns(df, date_formats=("yyyy-MM-dd",)):
 def null_profile(df):
     """Rows seen and, per delay column, nulls among flights that were not cancelled."""
     flown = ~F.col("is_cancelled")
-    counts = df.agg(
+    return df.agg(
         F.count("*").alias("rows_raw"),
         *[F.count_if(flown & F.col(c).isNull()).alias(c) for c in schema.DELAY_COLUMNS
           if c in df.columns],
     )
-    return counts
 
 
 def keep_last(df, keys, order):
@@ -133,7 +132,7 @@ def clean_statistics(raw, order=("input_order",)):
         .agg(
             F.count("*").alias("rows_after_dedup"),
             F.count_if(valid).alias("rows_valid"),
-            *_outcome_counts(valid),
+            *outcome_counts(valid),
         )
     )
     names = ["rows_raw", *after.columns]
@@ -143,7 +142,7 @@ def clean_statistics(raw, order=("input_order",)):
     return merged.withColumn("rows_rejected", F.col("rows_raw") - F.col("rows_valid"))
 
 
-def _outcome_counts(valid):
+def outcome_counts(valid):
     return [
         F.count_if(valid & F.col("is_cancelled")).alias("cancelled_flights"),
         F.count_if(valid & F.col("is_diverted")).alias("diverted_flights"),

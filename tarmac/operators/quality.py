@@ -244,8 +244,8 @@ def run_all_checks(df, as_of=None):
 
 
 def report_lines(results):
-    """Readable PASS / FAIL line per check."""
-    return results.select(
+    """Readable PASS / FAIL line per check, and a last one with their number."""
+    lines = results.select(
         "check_name",
         F.format_string(
             "[%s] %-45s %.1f%% (threshold: %.0f%%)",
@@ -255,6 +255,12 @@ def report_lines(results):
             F.col("threshold") * 100,
         ).alias("line"),
     )
+    total = results.agg(
+        F.lit("Result").alias("check_name"),
+        F.format_string("Result: %d/%d checks passed", F.count_if("passed"), F.count("*"))
+        .alias("line"),
+    )
+    return lines.unionByName(total)
 
 
 class QualityGateError(RuntimeError):

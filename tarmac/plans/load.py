@@ -164,21 +164,24 @@ def run_month(warehouse, raw, year, month, source_file=None, order=("input_order
               as_of=None, refresh=True):
     """Clean, check and load one month of raw rows.
 
-    The cleaned rows are stored once in the shared work folder and every later step reads them
-    there, so a lost executor costs a re-read, not a second cleaning.
+    Files are parsed once. The typed rows and then the cleaned rows are stored in the shared work
+    folder and every later step reads them there, so a lost executor costs a re-read of columns,
+    and the input order of the rows cannot change between steps.
     """
     spark = warehouse.spark
     started = datetime.now(timezone.utc).replace(tzinfo=None)
     run_id = new_run_id()
     stats = {"year": year, "month": month, "run_id": run_id, "steps_completed": []}
     try:
-        profile = clean.null_profile(raw.transform(clean.standardise)).first().asDict()
+        typed_path = work_folder(spark, "typed")
+        raw.transform(clean.standardise).write.parquet(typed_path)
+        typed = spark.read.parquet(typed_path)
+        profile = clean.null_profile(typed).first().asDict()
         stats["rows_raw"] = profile.pop("rows_raw")
         stats["null_profile"] = profile
         stored = work_folder(spark, "cleaned")
         (
-            raw.transform(clean.standardise)
-            .transform(clean.remove_duplicates, order)
+            typed.transform(clean.remove_duplicates, order)
             .withColumn("_valid", clean.airports_valid())
             .transform(clean.derive_columns)
             .drop("input_order")
@@ -189,7 +192,7 @@ def run_month(warehouse, raw, year, month, source_file=None, order=("input_order
         stats.update(unique.agg(
             F.count("*").alias("rows_after_dedup"),
             F.count_if("_valid").alias("rows_valid"),
-            *clean._outcome_counts(F.col("_valid")),
+            *clean.outcome_counts(F.col("_valid")),
         ).first().asDict())
         stats["rows_rejected"] = stats["rows_raw"] - stats["rows_valid"]
         stats["steps_completed"].append("transform")

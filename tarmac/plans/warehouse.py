@@ -116,7 +116,7 @@ def loadable_facts(df, carriers, airports):
     )
 
 
-def _in_table_order(facts):
+def in_table_order(facts):
     return facts.select([
         F.col(f.name) if f.name in facts.columns else F.lit(None).cast(f.dataType).alias(f.name)
         for f in FACT_TABLE.fields
@@ -127,7 +127,7 @@ def replace_month(facts, path, year, month, max_rows_per_file=5_000_000):
     """Make the stored month consist of `facts`, which must all belong to it. Writing again gives
     the same table. Rows stay where they are; sorting inside each file lets readers skip parts."""
     (
-        _in_table_order(facts).drop("year", "month")
+        in_table_order(facts).drop("year", "month")
         .sortWithinPartitions("carrier_code", "origin_airport")
         .write.mode("overwrite")
         .option("maxRecordsPerFile", max_rows_per_file)

@@ -137,3 +137,4 @@ def test_gate(flights):
 def test_report(flights):
     lines = [r.line for r in quality.report_lines(quality.run_all_checks(flights)).collect()]
     assert f"[PASS] {'not_null::flight_date':<45} 100.0% (threshold: 100%)" in lines
+    assert lines[-1] == "Result: 12/12 checks passed"

@@ -502,9 +502,12 @@ def dq_suite(spark, folder):
 @query("dq_report", f"""
 SELECT check_name, printf('[%s] %-45s %.1f%% (threshold: %.0f%%)', CASE WHEN passed THEN 'PASS' ELSE 'FAIL' END,
        check_name, pass_rate * 100, threshold * 100) AS line
-FROM ({SUITE})""")
+FROM ({SUITE})
+UNION ALL SELECT 'Result', printf('Result: %d/%d checks passed', COUNT(*) FILTER (WHERE passed), COUNT(*)) FROM ({SUITE})""")
 def dq_report(spark, folder):
-    return quality.report_lines(quality.run_all_checks(sample.flights(spark, folder), AS_OF))
+    results = work_folder(spark, "checks")
+    quality.run_all_checks(sample.flights(spark, folder), AS_OF).write.parquet(results)
+    return quality.report_lines(spark.read.parquet(results))
 
 
 @query("dq_results_table", f"""
