@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tarmac.functions import measures as m
-from tarmac.plans.summaries import daily_counts, delay_histogram, with_route_places
+from tarmac.plans.summaries import daily_counts, with_route_places
 
 
 def _of_year(flights, year):
@@ -64,14 +64,12 @@ def worst_routes(flights, dim_airports, year=2023, min_flights=100, top=20):
     delay = F.col("arrival_delay_min")
     flown = _of_year(flights, year).filter(~F.col("is_cancelled"))
     worst = (
-        delay_histogram(flown, *keys)
-        .groupBy(*keys)
+        flown.groupBy(*keys)
         .agg(
-            F.sum("flights").alias("total_flights"),
-            m.mean(F.sum(delay * F.col("flights")),
-                   F.sum(F.when(delay.isNotNull(), F.col("flights")))).alias("avg_delay_min"),
-            m.rounded(m.percentiles(delay, [0.9], F.col("flights"))[0], 2).alias("p90_delay_min"),
-            m.percent(F.sum("late"), F.sum("flights")).alias("pct_delayed"),
+            F.count("*").alias("total_flights"),
+            m.mean(F.sum(delay), F.count(delay)).alias("avg_delay_min"),
+            m.rounded(m.percentiles(delay, [0.9])[0], 2).alias("p90_delay_min"),
+            m.percent(m.count_where(F.col("is_delayed")), F.count("*")).alias("pct_delayed"),
         )
         .filter(F.col("total_flights") >= min_flights)
         .orderBy(F.desc_nulls_first("avg_delay_min"), "route")

@@ -93,18 +93,6 @@ def carrier_performance(flights, dim_carriers):
     )
 
 
-def delay_histogram(flights, *keys):
-    """Rows per `keys` and arrival delay. Delays are whole minutes, so this is small, spreads a hot
-    route over many groups, and carries enough for means and exact percentiles."""
-    return flights.groupBy(*keys, "arrival_delay_min").agg(
-        F.count("*").alias("flights"),
-        m.count_where(_flown()).alias("flown"),
-        m.count_where(F.col("is_delayed")).alias("late"),
-        F.sum("distance_miles").alias("dist_sum"),
-        F.count("distance_miles").alias("dist_n"),
-    )
-
-
 def with_route_places(routes, airports, *columns):
     """Attributes of both ends, as `origin_<column>` and `dest_<column>`."""
     names = {"city": "city", "state_code": "state"}
@@ -120,18 +108,17 @@ def with_route_places(routes, airports, *columns):
 def route_analysis(flights, dim_airports, min_flights=50):
     """Per route and year, for routes with enough flights."""
     keys = ["route", "origin_airport", "dest_airport", "year"]
-    delay = F.col("arrival_delay_min")
-    # A null delay adds nothing to sums, so it needs no guard; cancelled flights may have one.
+    delay, flown = F.col("arrival_delay_min"), _flown()
     per_route = (
-        delay_histogram(flights, *keys, "carrier_code")
-        .groupBy(*keys)
+        flights.groupBy(*keys)
         .agg(
-            F.sum("flights").alias("total_flights"),
-            m.mean(F.sum(delay * F.col("flown")),
-                   F.sum(F.when(delay.isNotNull(), F.col("flown")))).alias("avg_delay_min"),
-            m.percentiles(delay, [0.5, 0.9], F.col("flights")).alias("delays"),
-            m.mean(F.sum("dist_sum"), F.sum("dist_n"), 0).alias("avg_distance_miles"),
-            F.count_distinct("carrier_code").alias("carrier_count"),
+            F.count("*").alias("total_flights"),
+            m.mean(m.total_where(delay, flown), m.present_where(delay, flown))
+            .alias("avg_delay_min"),
+            m.percentiles(delay, [0.5, 0.9]).alias("delays"),
+            m.mean(F.sum("distance_miles"), F.count("distance_miles"), 0)
+            .alias("avg_distance_miles"),
+            m.distinct_few(F.col("carrier_code")).alias("carrier_count"),
         )
         .filter(F.col("total_flights") >= min_flights)
         .withColumns({

@@ -6,7 +6,7 @@ from tarmac import schema
 from tarmac.functions import flight
 from tarmac.functions import measures as m
 from tarmac.operators import clean, dimensions, quality
-from tarmac.plans import load, summaries
+from tarmac.plans import load
 from tarmac.plans import warehouse as wh
 from tarmac.session import work_folder
 from tarmac.sources import raw as src
@@ -343,9 +343,8 @@ SELECT route, {rnd('percentile_cont(0.5) WITHIN GROUP (ORDER BY arrival_delay_mi
        {rnd('percentile_cont(0.9) WITHIN GROUP (ORDER BY arrival_delay_min)')} AS p90_delay
 FROM f GROUP BY route""")
 def agg_percentiles(spark, folder):
-    delay, n = F.col("arrival_delay_min"), F.col("flights")
-    return summaries.delay_histogram(sample.flights(spark, folder), "route").groupBy("route").agg(
-        m.percentiles(delay, [0.5, 0.9], n).alias("delays"),
+    return sample.flights(spark, folder).groupBy("route").agg(
+        m.percentiles(F.col("arrival_delay_min"), [0.5, 0.9]).alias("delays"),
     ).select("route", m.rounded(F.col("delays")[0], 2).alias("median_delay"),
              m.rounded(F.col("delays")[1], 2).alias("p90_delay"))
 
