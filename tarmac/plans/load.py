@@ -18,6 +18,10 @@ log = logging.getLogger(__name__)
 JOB_NAME = "flight_delay_load"
 
 
+def now():
+    return datetime.now(timezone.utc)
+
+
 def new_run_id():
     return time.time_ns() // 1000
 
@@ -26,7 +30,7 @@ def audit_run(spark, run_id, year, month, status, started_at, run_type="manual",
               rows_extracted=0, rows_validated=0, rows_loaded=0, rows_rejected=0, error=None,
               notes=None, completed_at=None):
     """One row for the run table."""
-    done = completed_at or datetime.now(timezone.utc).replace(tzinfo=None)
+    done = completed_at or now()
     seconds = Decimal(str(round((done - started_at).total_seconds(), 2)))
     return spark.createDataFrame([(
         run_id, JOB_NAME, run_type, year, month, source_file, status, rows_extracted,
@@ -83,7 +87,7 @@ def load_month(warehouse, flights, source_file, year, month, overwrite=False, ru
     `flights` is read several times, so hand in a stored table. Writes a run row in every case.
     """
     spark = warehouse.spark
-    started = datetime.now(timezone.utc).replace(tzinfo=None)
+    started = now()
     run = {"run_id": run_id or new_run_id(), "year": year, "month": month, "run_type": run_type,
            "source_file": source_file, "started_at": started}
     existing = wh.rows_of_month(warehouse.facts(), year, month).first()["existing_rows"]
@@ -169,7 +173,7 @@ def run_month(warehouse, raw, year, month, source_file=None, order=("input_order
     and the input order of the rows cannot change between steps.
     """
     spark = warehouse.spark
-    started = datetime.now(timezone.utc).replace(tzinfo=None)
+    started = now()
     run_id = new_run_id()
     stats = {"year": year, "month": month, "run_id": run_id, "steps_completed": []}
     try:

@@ -194,3 +194,16 @@ def test_stream_merges_new_files_once(spark, warehouse, tmp_path):
     got = {(r.dest_airport, r.month): float(r.arrival_delay_min) for r in facts.collect()}
     assert got == {("LAX", 1): 20.0, ("SFO", 1): 23.0, ("LAX", 2): 20.0}
     assert facts.select("flight_id").distinct().count() == 3
+    runs = warehouse.runs().orderBy("started_at").collect()
+    assert [(r.status, r.rows_extracted, r.rows_loaded, r.notes) for r in runs] == [
+        ("success", 2, 2, "2023-01"), ("success", 2, 2, "2023-01, 2023-02")]
+
+
+def test_stream_keeps_trying_a_bad_file(spark, warehouse, tmp_path):
+    landing, progress = tmp_path / "landing", str(tmp_path / "progress")
+    landing.mkdir()
+    write_csv(landing / "a.csv", [raw_row(FlightDate="bad")])
+    with pytest.raises(Exception, match="data quality checks failed"):
+        ingest.ingest_stream(warehouse, str(landing), progress)
+    assert warehouse.facts().count() == 0
+    assert warehouse.runs().first().status == "failed"

@@ -14,7 +14,7 @@ from tarmac.streaming import ingest
 from verification.registry import query
 from verification.reports import MONTHLY_SQL
 from verification.sql_text import rnd
-from verification.tables import CARRIER_IDS, ID, csv_folder
+from verification.tables import CARRIER_IDS, ID
 
 PERIOD = (1998, 3)
 IN_PERIOD = '"year" = 1998 AND "month" = 3'
@@ -273,7 +273,7 @@ def ml_train(spark, folder):
 @query("ml_score")
 def ml_score(spark, folder):
     """All feature rows scored with the stored model, codes in lower case."""
-    rows = feature_rows(spark, folder).withColumns({
+    rows = stored_features(spark, folder).withColumns({
         c: F.lower(c) for c in schema.FEATURE_CATEGORIES})
     return model.score(model.load(trained(spark, folder)), rows)
 
