@@ -26,8 +26,9 @@ SLICE_WINDOWS = 200_000
 
 _RUN = pa.struct([("first", pa.int64()), ("last", pa.int64()), ("start", pa.int64()),
                   ("stop", pa.int64())])
-_FOUND = T.StructType.fromDDL("n_words long, items array<string>, "
-                              "runs array<struct<first:long,last:long,start:long,stop:long>>")
+_FOUND = (T.StructType().add("n_words", "long").add("items", T.ArrayType(T.StringType()))
+          .add("runs", T.ArrayType(T.StructType().add("first", "long").add("last", "long")
+                                   .add("start", "long").add("stop", "long"))))
 
 
 def windows(benchmark, n=WINDOW, item="item_id", text="text"):
