@@ -1,15 +1,41 @@
 """Helpers shared by the operators: stored tables, safe columns, Arrow text, summed counters."""
 
+import os
+import tempfile
+import weakref
+import zipfile
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
+import tarmac
 from tarmac.session import work_folder
 
 PIECE_BYTES = 4 << 20
 
 
+_shipped = weakref.WeakSet()
+
+
+def ship_code(spark):
+    """Give this package to the tasks, for sessions that were not submitted with it."""
+    context = spark.sparkContext
+    if context not in _shipped:
+        top = os.path.dirname(tarmac.__file__)
+        path = os.path.join(tempfile.mkdtemp(prefix="tarmac-code-"), "tarmac.zip")
+        with zipfile.ZipFile(path, "w") as archive:
+            for folder, _, names in os.walk(top):
+                for name in names:
+                    if name.endswith(".py"):
+                        full = os.path.join(folder, name)
+                        archive.write(full, os.path.relpath(full, os.path.dirname(top)))
+        context.addPyFile(path)
+        _shipped.add(context)
+    return spark
+
+
 def column(name):
     """A column by its exact name, whatever characters the name has."""
     return F.col("`" + name.replace("`", "``") + "`")

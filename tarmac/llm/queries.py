@@ -1,6 +1,7 @@
 """Registered queries of the operators, and DuckDB SQL where SQL can express a result."""
 
-from tarmac.llm import decontaminate
+from tarmac.llm import decontaminate, mixing, quality
+from tarmac.llm.common import ship_code
 
 QUERIES = {}
 EXPECTED = {}
@@ -9,7 +10,7 @@ EXPECTED = {}
 def query(name, sql=None):
     def register(build):
         assert name not in QUERIES, name
-        QUERIES[name] = build
+        QUERIES[name] = lambda spark, folder: build(ship_code(spark), folder)
         if sql:
             EXPECTED[name] = sql
         return build
@@ -20,6 +21,16 @@ def table(spark, folder, name):
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query("op2_mixing")
+def op2(spark, folder):
+    return mixing.digest(mixing.assign(table(spark, folder, "documents")))
+
+
+@query("op6_quality", quality.ORACLE_SQL)
+def op6(spark, folder):
+    return quality.digest(quality.judge(table(spark, folder, "documents"), carry=["doc_id"]))
+
+
 @query("op8_decontamination", decontaminate.ORACLE_SQL)
 def op8(spark, folder):
     found = decontaminate.find(table(spark, folder, "documents"),
