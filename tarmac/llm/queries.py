@@ -1,6 +1,6 @@
 """Registered queries of the operators, and DuckDB SQL where SQL can express a result."""
 
-from tarmac.llm import decontaminate, mixing, quality
+from tarmac.llm import decontaminate, hosts, mixing, quality, secrets
 from tarmac.llm.common import ship_code
 
 QUERIES = {}
@@ -26,6 +26,11 @@ def op2(spark, folder):
     return mixing.digest(mixing.assign(table(spark, folder, "documents")))
 
 
+@query("op3_secrets", secrets.ORACLE_SQL)
+def op3(spark, folder):
+    return secrets.digest(secrets.find(table(spark, folder, "documents"), carry=["doc_id"]))
+
+
 @query("op6_quality", quality.ORACLE_SQL)
 def op6(spark, folder):
     return quality.digest(quality.judge(table(spark, folder, "documents"), carry=["doc_id"]))
@@ -36,3 +41,8 @@ def op8(spark, folder):
     found = decontaminate.find(table(spark, folder, "documents"),
                                table(spark, folder, "benchmark"), carry=["doc_id"])
     return decontaminate.digest(found)
+
+
+@query("op9_url_filters", hosts.ORACLE_SQL)
+def op9(spark, folder):
+    return hosts.digest(hosts.judge(table(spark, folder, "pages")))
