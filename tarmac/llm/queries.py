@@ -1,6 +1,7 @@
 """Registered queries of the operators, and DuckDB SQL where SQL can express a result."""
 
-from tarmac.llm import decontaminate, hosts, mixing, quality, secrets
+from tarmac.llm import decontaminate, hosts, jaccard, mixing, quality
+from tarmac.llm import secret_scan as secrets
 from tarmac.llm.common import ship_code
 
 QUERIES = {}
@@ -31,6 +32,11 @@ def op3(spark, folder):
     return secrets.digest(secrets.find(table(spark, folder, "documents"), carry=["doc_id"]))
 
 
+@query("op4_jaccard_join")
+def op4(spark, folder):
+    return jaccard.join(table(spark, folder, "documents"))
+
+
 @query("op6_quality", quality.ORACLE_SQL)
 def op6(spark, folder):
     return quality.digest(quality.judge(table(spark, folder, "documents"), carry=["doc_id"]))
