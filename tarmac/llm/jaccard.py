@@ -7,8 +7,9 @@
 * Two sets that overlap enough share one of the first n - ceil(t n) + 1 n-grams (prefix filter). Only these
   are shuffled, once, by n-gram. Length and positional filters apply as nodes meet; a suffix filter (counts
   of the n-grams by hash range bound the overlap) before sets are compared. Each pair is compared once.
+* N-grams that no other prefix has are not shared by what precedes a common n-gram: a sharper positional filter.
 * Large groups never make all pairs. First each n-gram links its nodes to one of them only (of similar
-  size); the links found make components. Then an n-gram whose nodes all belong to one component has nothing
+  size, and with the fewest n-grams of its own); the links found make components. Then an n-gram whose nodes all belong to one component has nothing
   left to compare; elsewhere, nodes outside the n-gram's main component meet the nodes of other
   components. Every pair that shares a prefix n-gram is thus compared or already connected.
 
@@ -20,6 +21,7 @@ Extra columns are kept by `keep_one`; the digest has its own columns only.
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tarmac.llm import tokens
@@ -166,10 +168,15 @@ def _verify(percent):
     return scan
 
 
-def _possible(percent, a="size", b="size2", i="place", j="place2"):
-    """Length and positional filter for two nodes that share an n-gram at these places."""
-    a, b, i, j = (F.col(x).cast("long") for x in (a, b, i, j))
-    most = F.least(i, j) + F.least(a - i, b - j)
+def _possible(percent):
+    """Length and positional filter for two nodes that share an n-gram at these places.
+
+    What comes before it in a set can only be shared where it is in the other one's prefix as well, so
+    the n-grams before it that no other prefix has (`before` counts the rest) bound the overlap.
+    """
+    a, b, i, j, before, before2 = (F.col(x).cast("long") for x in (
+        "size", "size2", "place", "place2", "before", "before2"))
+    most = F.least(before, before2) + F.least(a - i, b - j)
     return ((100 * F.least(a, b) >= percent * F.greatest(a, b))
             & ((100 + percent) * most >= percent * (a + b)))
 
@@ -199,11 +206,15 @@ class Join:
         shared = spark.sparkContext.broadcast(frequency)
         rows = texts.mapInArrow(_prefixes(self.n, self.percent, self.seed, shared),
                                 "gram long, node long, size int, place int")
-        counts = rows.groupBy("gram").agg(F.min("node").alias("x"), F.max("node").alias("y"))
-        often = counts.where("x <> y").select(F.col("gram").alias("often"))
+        often = (rows.groupBy("gram").agg(F.count("*").alias("k")).where("k > 1")
+                 .select(F.col("gram").alias("often")))
         # Equal texts of different tasks leave equal rows; distinct() makes them one.
-        return stored(rows.join(often, F.col("gram") == F.col("often"), "left_semi").distinct(),
-                      "prefixes")
+        shared_ = stored(rows.join(often, F.col("gram") == F.col("often"), "left_semi").distinct(),
+                         "shared")
+        own = Window.partitionBy("node")
+        return stored(shared_.withColumns({
+            "before": F.row_number().over(own.orderBy("place")) - 1,
+            "share": F.count("*").over(own) / F.col("size")}), "prefixes")
 
     def links(self, pairs):
         """The pairs (a < b) that overlap enough."""
@@ -237,26 +248,28 @@ class Join:
         level = F.floor(F.log("size") / F.log(F.lit(1.1))).cast("int")
         sized = rows.withColumn("level", level)
         pivots = sized.groupBy("gram", "level").agg(
-            F.min(F.struct("node", "size", "place")).alias("p")).select(
+            F.max(F.struct("share", "node", "size", "place", "before")).alias("p")).select(
             F.col("gram").alias("g"), F.col("level").alias("l"), F.col("p.node").alias("a"),
-            F.col("p.size").alias("size2"), F.col("p.place").alias("place2"))
+            F.col("p.size").alias("size2"), F.col("p.place").alias("place2"),
+            F.col("p.before").alias("before2"))
         stars = (sized.join(pivots, (F.col("gram") == F.col("g")) & (F.col("level") == F.col("l")))
                  .where(F.col("node") != F.col("a")).where(_possible(self.percent))
                  .select("a", F.col("node").alias("b")))
         first = self.links(stars)
         roots = connected(first)
         named = rows.join(roots.withColumnRenamed("node", "k"), F.col("node") == F.col("k"), "left"
-                          ).select("gram", "node", "size", "place",
+                          ).select("gram", "node", "size", "place", "before",
                                    F.coalesce("root", "node").alias("root"))
         named = stored(named, "named")
         mixed = (named.groupBy("gram", "root").agg(F.count("*").alias("n"))
                  .groupBy("gram").agg(F.max(F.struct("n", "root")).alias("main"), F.count("*").alias("k"))
                  .where("k > 1").select(F.col("gram").alias("g"), F.col("main.root").alias("main")))
         open_ = named.join(mixed, F.col("gram") == F.col("g")).drop("g")
-        left = open_.where("root <> main").select("gram", "node", "size", "place", "root")
+        left = open_.where("root <> main").select("gram", "node", "size", "place", "before", "root")
         right = open_.select(
             F.col("gram").alias("gram2"), F.col("node").alias("node2"), F.col("size").alias("size2"),
-            F.col("place").alias("place2"), F.col("root").alias("root2"), F.col("main").alias("main2"))
+            F.col("place").alias("place2"), F.col("before").alias("before2"),
+            F.col("root").alias("root2"), F.col("main").alias("main2"))
         meet = left.join(right, (F.col("gram") == F.col("gram2")) & (F.col("root") != F.col("root2"))
                          & ((F.col("root2") == F.col("main2")) | (F.col("node") < F.col("node2")))
                          & _possible(self.percent))
