@@ -1,6 +1,6 @@
 """Registered queries of the operators, and DuckDB SQL where SQL can express a result."""
 
-from tarmac.llm import decontaminate, hosts, jaccard, mixing, quality
+from tarmac.llm import decontaminate, hosts, jaccard, mixing, quality, repeats
 from tarmac.llm import secret_scan as secrets
 from tarmac.llm.common import ship_code
 
@@ -52,3 +52,8 @@ def op8(spark, folder):
 @query("op9_url_filters", hosts.ORACLE_SQL)
 def op9(spark, folder):
     return hosts.digest(hosts.judge(table(spark, folder, "pages")))
+
+
+@query("op10_repeats")
+def op10(spark, folder):
+    return repeats.measure(table(spark, folder, "documents"))
