@@ -1,9 +1,17 @@
 """Registered queries of the operators, and DuckDB SQL where SQL can express a result."""
 
-from tarmac.llm import decontaminate, hosts, jaccard, mixing, quality, repeats
+import os
+
+import corpus_pipeline
+from tarmac.llm import (
+    decontaminate, hosts, jaccard, mixing, quality, quotations, repeats, token_counts, toxicity,
+)
 from tarmac.llm import secret_scan as secrets
 from tarmac.llm.common import ship_code
 
+#: A rank file of a public byte-level vocabulary, at the same path on every machine.
+VOCABULARY = os.environ.get("TARMAC_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.tiktoken")
+
 QUERIES = {}
 EXPECTED = {}
 
@@ -22,6 +30,12 @@ def table(spark, folder, name):
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query("op1_toxicity")
+def op1(spark, folder):
+    documents = table(spark, folder, "documents")
+    return toxicity.digest(toxicity.score(documents, toxicity.fit(documents, table(spark, folder, "labels"))))
+
+
 @query("op2_mixing")
 def op2(spark, folder):
     return mixing.digest(mixing.assign(table(spark, folder, "documents")))
@@ -37,6 +51,16 @@ def op4(spark, folder):
     return jaccard.join(table(spark, folder, "documents"))
 
 
+@query("op5_token_counts")
+def op5(spark, folder):
+    return token_counts.count(table(spark, folder, "documents"), token_counts.heading_edits(), VOCABULARY)
+
+
+@query("op7_quotations", quotations.ORACLE_SQL)
+def op7(spark, folder):
+    return quotations.conversations(quotations.quoting(table(spark, folder, "conversations")))
+
+
 @query("op6_quality", quality.ORACLE_SQL)
 def op6(spark, folder):
     return quality.digest(quality.judge(table(spark, folder, "documents"), carry=["doc_id"]))
@@ -57,3 +81,8 @@ def op9(spark, folder):
 @query("op10_repeats")
 def op10(spark, folder):
     return repeats.measure(table(spark, folder, "documents"))
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark, folder):
+    return corpus_pipeline.run(spark, folder)
