@@ -1,7 +1,7 @@
 """Toxicity by maximum-scoring segments.
 
 * Tokens (runs of letters and digits, hashed into a table of fixed width) get log-odds of toxic against clean training
-  texts, counted by distinct contexts, under a Dirichlet prior: pseudo-counts in proportion to the token's count over all documents, so a rare
+  texts (how many have it, copies once) under a Dirichlet prior: pseudo-counts in proportion to the token's count over all documents, so a rare
   token is drawn to 0. Log-odds that are not significant or below `TELLING` count as 0, and every token costs `DRIFT`.
 * One scan over the tokens with a positive score finds all maximal segments (linear time); the tokens
   between them only add their cost.
@@ -27,8 +27,9 @@ BITS = 20
 WIDTH = 1 << BITS
 _SHIFT = np.uint64(64 - BITS)
 SAMPLE = 20_000
-PRIOR = 20_000.0
-SIGNIFICANT = 4.0
+#: Pseudo-counts of the prior, as a share of the training counts.
+PRIOR = 0.005
+SIGNIFICANT = 3.0
 TELLING = 2.0
 DRIFT = 0.3
 THRESHOLD = 0.3
@@ -57,7 +58,7 @@ def _background(batch, counters):
 
 
 def _contexts(batches):
-    """(bucket, context, toxic): every token with its neighbours, once a task."""
+    """(bucket, context, toxic): each token of a text once, with one of the places it has there."""
     for batch in batches:
         for part in pieces(batch):
             data, offsets = utf8(part.column(0))
@@ -66,17 +67,22 @@ def _contexts(batches):
             around = np.zeros(len(h) + 2, np.uint64)
             around[1:-1] = h
             context = tokens.ngrams(around, 3)
-            context, at = np.unique(context, return_index=True)
+            bucket = (h >> _SHIFT).astype(np.int64)
+            row = np.repeat(np.arange(part.num_rows), np.diff(first))
+            order = np.lexsort((context, bucket, row))
+            bucket, context, row = bucket[order], context[order], row[order]
+            new = np.ones(len(order), bool)
+            new[1:] = (bucket[1:] != bucket[:-1]) | (row[1:] != row[:-1])
             yield pa.RecordBatch.from_arrays(
-                [pa.array((h[at] >> _SHIFT).astype(np.int64)), pa.array(context.view(np.int64)),
-                 pa.array(toxic[at])], names=["bucket", "context", "toxic"])
+                [pa.array(bucket[new]), pa.array(context[new].view(np.int64)),
+                 pa.array(toxic[order][new])], names=["bucket", "context", "toxic"])
 
 
 def label_counts(rows):
-    """Distinct contexts of each token bucket in clean and in toxic texts.
+    """Clean and toxic texts with each token bucket, where a text counts by a token's context in it.
 
-    Copies of a text, exact or near, bring no new contexts, so a much copied text does not make
-    its words look telling.
+    A text's context is the neighbourhood with the least hash, so copies, exact or near, mostly count
+    once: a much copied text does not make its words look telling.
     """
     seen = rows.mapInArrow(_contexts, "bucket long, context long, toxic boolean").distinct()
     out = np.zeros((2, WIDTH))
@@ -85,16 +91,18 @@ def label_counts(rows):
     return out
 
 
-def _prior(background, prior=PRIOR):
-    return prior * (background + 0.01) / (background + 0.01).sum()
+def _prior(background, counted, prior=PRIOR):
+    return max(prior * counted, 1.0) * (background + 0.01) / (background + 0.01).sum()
 
 
 def log_odds(background, clean, toxic, prior=PRIOR):
     """Token scores before the drift."""
-    alpha = _prior(background, prior)
+    alpha = _prior(background, clean.sum() + toxic.sum(), prior)
     t, c = toxic + alpha, clean + alpha
     odds = np.log(t / (t.sum() - t)) - np.log(c / (c.sum() - c))
-    z = odds / np.sqrt(1 / t + 1 / c)
+    # Significance with half a text more on either side: a token of one or two texts tells nothing.
+    t, c = toxic + 0.5, clean + 0.5
+    z = (np.log(t / toxic.sum()) - np.log(c / clean.sum())) / np.sqrt(1 / t + 1 / c)
     return np.where((z >= SIGNIFICANT) & (odds >= TELLING), odds, 0.0)
 
 
@@ -204,7 +212,7 @@ def fit(documents, labels, sample=SAMPLE):
     if not clean.any() or not toxic.any():
         return Model(np.zeros(WIDTH), 1.0, 1.0, (-100.0, 0.0))
     scores = log_odds(background, clean, toxic)
-    rate = decay(scores - DRIFT, clean + _prior(background))
+    rate = decay(scores - DRIFT, clean + _prior(background, clean.sum() + toxic.sum()))
     shared = spark.sparkContext.broadcast(scores)
     seen = rows.mapInArrow(_best(shared), "n long, best double, toxic boolean, found array<double>").toPandas()
     calm = seen[~seen["toxic"] & (seen["n"] > 0)]
