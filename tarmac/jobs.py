@@ -44,6 +44,9 @@ def arguments(argv=None):
     fit.add_argument("--max-rows-per-file", type=int)
     fit.add_argument("--test-size", type=float, default=0.2)
     fit.add_argument("--random-state", type=int, default=42)
+    fit.add_argument("--trees", type=int, default=120)
+    fit.add_argument("--min-leaf", type=int, default=20)
+    fit.add_argument("--depth", type=int, default=12, help="of the trees; Spark's end is 30")
 
     rate = commands.add_parser("score", help="score flights, rejecting unusable rows")
     rate.add_argument("--model", required=True)
@@ -77,7 +80,7 @@ def run(spark, args):
     if args.command == "train":
         return training.train_classifier(
             spark, args.files, args.output, args.max_rows_per_file, args.test_size,
-            args.random_state)
+            args.random_state, trees=args.trees, min_leaf=args.min_leaf, depth=args.depth)
     checked = model.input_problems(spark.read.parquet(args.input))
     good = checked.filter("problems = ''").drop("problems")
     model.score(model.load(args.model), good).write.parquet(f"{args.output}/scored")

@@ -7,12 +7,6 @@ from tarmac import schema
 from tarmac.functions import flight
 
 
-def small_side(df, max_rows):
-    """Mark a join side for broadcast after counting that it has at most `max_rows` rows; a larger
-    one is left to Catalyst, which shuffles both sides and splits skewed partitions."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 # --- calendar -------------------------------------------------------------------------------
 
 def calendar(days, day_column="full_date"):
@@ -140,17 +134,17 @@ def enrich(dimension, reference, key, columns, now=None):
     return dimension.join(one_per_code, key, "left").select([filled(c) for c in dimension.columns])
 
 
-def with_dimension_keys(flights, carriers, airports, max_rows=20_000):
+def with_dimension_keys(flights, carriers, airports):
     """Fill the declared foreign keys from the natural keys; unknown codes keep null.
 
-    26^3 airport codes exist, and `small_side` checks both tables before they are broadcast.
+    The dimensions are stored tables of known size, so Spark chooses between broadcast and shuffle.
     """
     by_code = carriers.select("carrier_code", "carrier_id")
     ids = airports.select("iata_code", "airport_id")
     origin = ids.toDF("origin_airport", "origin_airport_id")
     dest = ids.toDF("dest_airport", "dest_airport_id")
     return (
-        flights.join(small_side(by_code, max_rows), "carrier_code", "left")
-        .join(small_side(origin, max_rows), "origin_airport", "left")
-        .join(small_side(dest, max_rows), "dest_airport", "left")
+        flights.join(by_code, "carrier_code", "left")
+        .join(origin, "origin_airport", "left")
+        .join(dest, "dest_airport", "left")
     )

@@ -108,7 +108,7 @@ def load_month(warehouse, flights, source_file, year, month, overwrite=False, ru
         stored = wh.rows_of_month(warehouse.facts(), year, month).first()["existing_rows"]
         counts["rows_loaded"] = stored
     except Exception as error:
-        failed = audit_run(spark, status="failed", error=str(error)[:4000], **run, **counts)
+        failed = audit_run(spark, status="failed", error=str(error), **run, **counts)
         warehouse.append(failed, "pipeline_runs")
         raise
     warehouse.append(audit_run(spark, status="success", **run, **counts), "pipeline_runs")
@@ -176,6 +176,12 @@ def run_month(warehouse, raw, year, month, source_file=None, order=("input_order
     started = now()
     run_id = new_run_id()
     stats = {"year": year, "month": month, "run_id": run_id, "steps_completed": []}
+    # Nothing is parsed for a month that is there and is to stay.
+    existing = wh.rows_of_month(warehouse.facts(), year, month).first()["existing_rows"]
+    if existing and not overwrite:
+        warehouse.append(audit_run(spark, run_id, year, month, "skipped", started, run_type, source_file),
+                         "pipeline_runs")
+        return stats | {"status": "skipped", "skipped": True, "existing_rows": existing}
     try:
         typed_path = work_folder(spark, "typed")
         raw.transform(clean.standardise).write.parquet(typed_path)
@@ -214,7 +220,7 @@ def run_month(warehouse, raw, year, month, source_file=None, order=("input_order
         warehouse.append(audit_run(
             spark, run_id, year, month, "failed", started, run_type, source_file,
             rows_extracted=stats.get("rows_raw", 0), rows_validated=stats.get("rows_valid", 0),
-            error=str(error)[:4000],
+            error=str(error),
         ), "pipeline_runs")
         raise
     loaded = load_month(warehouse, flights, source_file, year, month, overwrite, run_type,

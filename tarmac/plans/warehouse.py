@@ -100,11 +100,13 @@ def to_facts(df):
 
 def with_flight_id(facts):
     """A row id that no other write repeats, without a shuffle: the month of the row above the
-    writing task and row number (years 1970 to 2311, up to 262,143 tasks)."""
+    writing task and row number. Years 1970 to 2310 and 262,144 tasks fit; beyond them the write
+    fails instead of repeating an id."""
     period = (F.col("year").cast("bigint") - 1970) * 12 + F.col("month")
-    return facts.withColumn(
-        "flight_id", F.shiftleft(period, 51) + F.monotonically_increasing_id()
-    )
+    row = F.monotonically_increasing_id()
+    fits = period.between(0, 4095) & (F.spark_partition_id() < 2 ** 18)
+    return facts.withColumn("flight_id", F.when(fits, F.shiftleft(period, 51) + row).otherwise(
+        F.raise_error(F.lit("flight_id: year or number of tasks out of range")).cast("bigint")))
 
 
 def loadable_facts(df, carriers, airports):

@@ -101,3 +101,23 @@ def test_periods():
         periods.month_list(months="0-2")
     assert periods.monthly_paths("/x", 2023, 4) == "/x/2023/flights_2023_04.csv"
     assert periods.monthly_paths("/x", 2023) == "/x/2023/flights_2023_*.csv"
+
+
+def test_reference_documents_in_every_form(spark, tmp_path):
+    import json
+
+    from tarmac.sources import raw
+    service = {"iata_code": "YYZ", "airport_name": "Pearson", "city_iata_code": "YTO", "country_iso2": "CA", "gmt": "-5"}
+    saved = {"iata_code": "YYZ", "airport_name": "Pearson", "city": "YTO", "country_code": "CA", "utc_offset_hrs": "-5"}
+    for k, document in enumerate(([service], [saved], {"data": [service]})):
+        path = tmp_path / f"airports{k}.json"
+        path.write_text(json.dumps(document, indent=2))
+        row = raw.read_airport_reference(spark, str(path)).collect()
+        assert [(r["iata_code"], r["city"], r["country_code"], int(r["utc_offset_hrs"])) for r in row] == [
+            ("YYZ", "YTO", "CA", -5)]
+    line = {"carrier_code": "AA", "carrier_name": "American", "country_code": "US", "is_active": True}
+    path = tmp_path / "airlines.json"
+    path.write_text(json.dumps([line, {"iata_code": "ZZ", "airline_name": "Z", "status": "Active"}]))
+    got = raw.read_airline_reference(spark, str(path)).collect()
+    assert [(r["carrier_code"], r["carrier_name"], r["is_active"]) for r in got] == [
+        ("AA", "American", True), ("ZZ", "Z", True)]

@@ -152,10 +152,10 @@ def staging_rows(spark, folder):
     in_json = {"json_carrier": "IATA_CODE_Reporting_Airline", "json_departure": "CRSDepTime",
                "json_delay": "ArrDelay"}
     names = [*wh.STAGED_TEXT, "is_processed"]
+    parsed = F.from_json("raw_data", ", ".join(f"`{v}` string" for v in in_json.values()))
     return (
-        staged.withColumns({
-            k: F.get_json_object("raw_data", f"$.{v}") for k, v in in_json.items()
-        })
+        staged.withColumn("parsed", parsed)
+        .withColumns({k: F.col("parsed")[v] for k, v in in_json.items()})
         .groupBy(*names, *in_json).agg(F.count("*").alias("copies"))
     )
 
