@@ -178,9 +178,10 @@ def _windows(w):
 
 
 def _often(rows, key):
-    """The rows whose key is there twice or more."""
-    twice = (rows.groupBy(key).agg(F.count("*").alias("n")).where("n > 1")
-             .select(F.col(key).alias("often")))
+    """The rows whose key is there twice or more. The keys are stored first: a join whose sides both
+    come straight from a shuffle is one that Spark can split where a key is frequent."""
+    twice = stored(rows.groupBy(key).agg(F.count("*").alias("n")).where("n > 1")
+                   .select(F.col(key).alias("often")), "often")
     return rows.join(twice, F.col(key) == F.col("often"), "left_semi")
 
 
@@ -193,7 +194,7 @@ def _settled(rows, key, part, one):
     groups = stored(rows.groupBy(key, part).agg(F.count("*").alias("n"), F.min(one).alias("one")), "groups")
     whole = rows.join(groups.where("n > 1").select(F.col(key).alias("k"), F.col(part).alias("p")),
                       (F.col(key) == F.col("k")) & (F.col(part) == F.col("p")), "left_semi")
-    partly = groups.where("n = 1").select(F.col(key).alias("k")).distinct()
+    partly = stored(groups.where("n = 1").select(F.col(key).alias("k")).distinct(), "partly")
     return whole, groups.join(partly, F.col(key) == F.col("k"), "left_semi").select("one.*")
 
 
