@@ -2,7 +2,9 @@
 
     spark-submit run_job.py load  --warehouse W --landing L --year 2023 --months 1-6
     spark-submit run_job.py ingest --warehouse W --landing L --checkpoint C
+    spark-submit run_job.py reference --warehouse W --airports A.json --airlines B.json
     spark-submit run_job.py train --output M --max-rows-per-file 100000 FILE...
+    spark-submit run_job.py train --output M --landing L --year 2023
     spark-submit run_job.py score --model M --input FLIGHTS --output SCORED
 """
 
@@ -12,7 +14,9 @@ from tarmac.functions.periods import month_list, monthly_paths
 from tarmac.operators import model
 from tarmac.plans import load, training
 from tarmac.plans.warehouse import Warehouse
-from tarmac.sources.raw import read_flight_files
+from tarmac.sources.raw import (
+    read_airline_reference, read_airport_reference, read_flight_files,
+)
 from tarmac.streaming.ingest import ingest_stream
 
 
@@ -38,8 +42,16 @@ def arguments(argv=None):
     stream.add_argument("--checkpoint", required=True)
     stream.add_argument("--no-fail-on-quality", action="store_true")
 
+    names = commands.add_parser("reference", help="store names out of reference documents")
+    names.add_argument("--warehouse", required=True)
+    names.add_argument("--airports", help="JSON documents of airports")
+    names.add_argument("--airlines", help="JSON documents of airlines")
+
     fit = commands.add_parser("train", help="train the delay classifier")
-    fit.add_argument("files", nargs="+")
+    fit.add_argument("files", nargs="*")
+    fit.add_argument("--landing", help="folder of the monthly files of --year")
+    fit.add_argument("--year", type=int)
+    fit.add_argument("--month", type=int, help="one month of --year; all of them without")
     fit.add_argument("--output", required=True)
     fit.add_argument("--max-rows-per-file", type=int)
     fit.add_argument("--test-size", type=float, default=0.2)
@@ -52,7 +64,10 @@ def arguments(argv=None):
     rate.add_argument("--model", required=True)
     rate.add_argument("--input", required=True, help="Parquet with the feature columns")
     rate.add_argument("--output", required=True)
-    return parser.parse_args(argv)
+    args = parser.parse_args(argv)
+    if args.command == "train" and not (args.files or (args.landing and args.year)):
+        fit.error("name files, or --landing and --year")
+    return args
 
 
 def run(spark, args):
@@ -77,9 +92,17 @@ def run(spark, args):
     if args.command == "ingest":
         return ingest_stream(Warehouse(spark, args.warehouse), args.landing, args.checkpoint,
                              fail_on_quality=not args.no_fail_on_quality)
+    if args.command == "reference":
+        return load.enrich_dimensions(
+            Warehouse(spark, args.warehouse),
+            args.airports and read_airport_reference(spark, args.airports),
+            args.airlines and read_airline_reference(spark, args.airlines))
     if args.command == "train":
+        files = list(args.files)
+        if args.year:
+            files.append(monthly_paths(args.landing, args.year, args.month))
         return training.train_classifier(
-            spark, args.files, args.output, args.max_rows_per_file, args.test_size,
+            spark, files, args.output, args.max_rows_per_file, args.test_size,
             args.random_state, trees=args.trees, min_leaf=args.min_leaf, depth=args.depth)
     checked = model.input_problems(spark.read.parquet(args.input))
     good = checked.filter("problems = ''").drop("problems")

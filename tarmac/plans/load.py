@@ -163,15 +163,59 @@ def ensure_calendar(warehouse, first=schema.CALENDAR_START, last=schema.CALENDAR
     warehouse.append(missing.coalesce(1), "dim_date")
 
 
-def run_month(warehouse, raw, year, month, source_file=None, order=("input_order",),
-              skip_quality=False, overwrite=False, fail_on_quality=True, run_type="manual",
-              as_of=None, refresh=True):
-    """Clean, check and load one month of raw rows.
+def cleaned_once(spark, raw, stats, order=("input_order",)):
+    """Valid flights of raw rows; adds the counts along the way to `stats`.
 
     Files are parsed once. The typed rows and then the cleaned rows are stored in the shared work
     folder and every later step reads them there, so a lost executor costs a re-read of columns,
     and the input order of the rows cannot change between steps.
     """
+    typed_path = work_folder(spark, "typed")
+    raw.transform(clean.standardise).write.parquet(typed_path)
+    typed = spark.read.parquet(typed_path)
+    profile = clean.null_profile(typed).first().asDict()
+    stats["rows_raw"] = profile.pop("rows_raw")
+    stats["null_profile"] = profile
+    stored = work_folder(spark, "cleaned")
+    (
+        typed.transform(clean.remove_duplicates, order)
+        .withColumn("_valid", clean.airports_valid())
+        .transform(clean.derive_columns)
+        .drop("input_order")
+        .write.parquet(stored)
+    )
+    unique = spark.read.parquet(stored)
+    stats.update(unique.agg(
+        F.count("*").alias("rows_after_dedup"),
+        F.count_if("_valid").alias("rows_valid"),
+        *clean.outcome_counts(F.col("_valid")),
+    ).first().asDict())
+    stats["rows_rejected"] = stats["rows_raw"] - stats["rows_valid"]
+    return unique.filter("_valid").drop("_valid")
+
+
+def enrich_dimensions(warehouse, airports=None, airlines=None):
+    """Store what reference documents know about the airports and carriers of the warehouse.
+
+    The new table is written beside the old one and copied over it, so a failure before the copy
+    leaves the table as it was, and one during the copy leaves the new rows in the work folder.
+    """
+    for table, known, reference, key, columns in (
+        ("dim_airports", warehouse.airports(), airports, "iata_code",
+         ["airport_name", "city", "country_code", "latitude", "longitude", "utc_offset_hrs"]),
+        ("dim_carriers", warehouse.carriers(), airlines, "carrier_code", ["carrier_name", "is_active"]),
+    ):
+        if reference is not None:
+            beside = work_folder(warehouse.spark, table)
+            dimensions.enrich(known, reference, key, columns).write.parquet(beside)
+            warehouse.spark.read.schema(known.schema).parquet(beside).write.mode(
+                "overwrite").parquet(warehouse.path(table))
+
+
+def run_month(warehouse, raw, year, month, source_file=None, order=("input_order",),
+              skip_quality=False, overwrite=False, fail_on_quality=True, run_type="manual",
+              as_of=None, refresh=True):
+    """Clean, check and load one month of raw rows."""
     spark = warehouse.spark
     started = now()
     run_id = new_run_id()
@@ -183,28 +227,7 @@ def run_month(warehouse, raw, year, month, source_file=None, order=("input_order
                          "pipeline_runs")
         return stats | {"status": "skipped", "skipped": True, "existing_rows": existing}
     try:
-        typed_path = work_folder(spark, "typed")
-        raw.transform(clean.standardise).write.parquet(typed_path)
-        typed = spark.read.parquet(typed_path)
-        profile = clean.null_profile(typed).first().asDict()
-        stats["rows_raw"] = profile.pop("rows_raw")
-        stats["null_profile"] = profile
-        stored = work_folder(spark, "cleaned")
-        (
-            typed.transform(clean.remove_duplicates, order)
-            .withColumn("_valid", clean.airports_valid())
-            .transform(clean.derive_columns)
-            .drop("input_order")
-            .write.parquet(stored)
-        )
-        unique = spark.read.parquet(stored)
-        flights = unique.filter("_valid").drop("_valid")
-        stats.update(unique.agg(
-            F.count("*").alias("rows_after_dedup"),
-            F.count_if("_valid").alias("rows_valid"),
-            *clean.outcome_counts(F.col("_valid")),
-        ).first().asDict())
-        stats["rows_rejected"] = stats["rows_raw"] - stats["rows_valid"]
+        flights = cleaned_once(spark, raw, stats, order)
         stats["steps_completed"].append("transform")
 
         if not skip_quality:

@@ -1,10 +1,10 @@
 import datetime
 
 import pytest
-from conftest import raw_row, write_csv
+from conftest import RAW_HEADER, raw_row, write_csv
 from pyspark.sql import functions as F
 
-from tarmac import schema
+from tarmac import jobs, schema
 from tarmac.operators import clean, dimensions, quality
 from tarmac.plans import load
 from tarmac.plans import warehouse as wh
@@ -207,3 +207,34 @@ def test_stream_keeps_trying_a_bad_file(spark, warehouse, tmp_path):
         ingest.ingest_stream(warehouse, str(landing), progress)
     assert warehouse.facts().count() == 0
     assert warehouse.runs().first().status == "failed"
+
+
+def test_stream_of_an_empty_folder_does_nothing(spark, warehouse, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    ingest.ingest_stream(warehouse, str(landing), str(tmp_path / "progress"))
+    assert warehouse.runs().count() == 0 and warehouse.facts().count() == 0
+
+
+def test_stream_takes_other_layouts_and_refreshes_summaries(spark, warehouse, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    write_csv(landing / "a.csv", [raw_row()])
+    write_csv(landing / "b.csv", [raw_row(Dest="SFO")], header=RAW_HEADER[:-1][::-1])
+    ingest.ingest_stream(warehouse, str(landing), str(tmp_path / "progress"))
+    assert {r.dest_airport for r in warehouse.facts().collect()} == {"LAX", "SFO"}
+    assert warehouse.read("mv_monthly_summary").first().total_flights == 2
+
+
+def test_reference_names_are_stored(spark, warehouse, january, tmp_path):
+    load.load_month(warehouse, january, "jan.csv", 2023, 1)
+    airports, airlines = tmp_path / "airports.json", tmp_path / "airlines.json"
+    airports.write_text('[{"iata_code": "JFK", "airport_name": "Kennedy", "city": "NYC"}]')
+    airlines.write_text('[{"carrier_code": "AA", "carrier_name": "American", "is_active": true}]')
+    for _ in range(2):
+        jobs.run(spark, jobs.arguments(["reference", "--warehouse", warehouse.root, "--airports",
+                                        str(airports), "--airlines", str(airlines)]))
+    assert {r.iata_code: (r.airport_name, r.city) for r in warehouse.airports().collect()} == {
+        "JFK": ("Kennedy", "NYC"), "LAX": (None, None), "SFO": (None, None)}
+    assert {r.carrier_code: r.carrier_name for r in warehouse.carriers().collect()} == {
+        "AA": "American", "DL": None}

@@ -20,12 +20,15 @@ def test_tokens_and_blank_column(spark, tmp_path):
     assert got == [None] * 7 + ["12"]
 
 
-def test_other_column_order_is_not_read_into_wrong_columns(spark, tmp_path):
+def test_files_are_read_by_their_own_header(spark, tmp_path):
     write_csv(tmp_path / "a.csv", [raw_row()])
-    write_csv(tmp_path / "b.csv", [raw_row()], header=RAW_HEADER[::-1])
-    with pytest.raises(Exception, match="CSV header does not conform|header"):
-        src.read_flight_files(spark, [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")]).select(
-            "Origin", "Dest").collect()
+    write_csv(tmp_path / "b.csv", [raw_row(Origin="SFO")], header=RAW_HEADER[:-1][::-1])
+    (tmp_path / "empty.csv").write_text("")
+    rows = src.read_flight_files(spark, [str(tmp_path / f"{x}.csv") for x in ("a", "b", "empty")])
+    got = rows.orderBy("Origin").select("Origin", "Dest", "ArrDelay", "DayOfWeek").collect()
+    assert [tuple(r) for r in got] == [("JFK", "LAX", "20.00", "7"), ("SFO", "LAX", "20.00", None)]
+    with pytest.raises(ValueError, match="no flight files"):
+        src.read_flight_files(spark, str(tmp_path / "empty.csv"))
 
 
 def test_later_row_of_a_file_is_greater(spark, tmp_path):

@@ -174,6 +174,22 @@ def stream_ingest(spark, folder):
         F.count("*").alias("flights"), F.sum("arrival_delay_min").alias("arrival_sum"))
 
 
+@query("stream_refreshes_summaries", f"""
+SELECT "year", "month", COUNT(*) AS total_flights FROM ({LATEST})
+WHERE rn = 1 AND {LOADABLE} AND flight_date BETWEEN DATE '{sample.CALENDAR[0]}' AND DATE '{sample.CALENDAR[1]}'
+GROUP BY "year", "month" """)
+def stream_refreshes_summaries(spark, folder):
+    """The monthly summary after two ingested deliveries; days outside the calendar have no part in it."""
+    store = _warehouse(spark)
+    load.ensure_calendar(store, *sample.CALENDAR)
+    landing, checkpoint = work_folder(spark, "landing"), work_folder(spark, "progress")
+    for part in _deliveries(spark, folder):
+        part.write.mode("append").csv(landing, header=True)
+        ingest.ingest_stream(store, landing, checkpoint)
+    return store.read("mv_monthly_summary").groupBy("year", "month").agg(
+        F.sum("total_flights").alias("total_flights"))
+
+
 # --- classifier -----------------------------------------------------------------------------
 
 FEATURE_SQL = f"""

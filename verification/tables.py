@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tarmac import schema
 from tarmac.functions import flight
 from tarmac.functions import measures as m
+from tarmac.functions import periods
 from tarmac.operators import clean, dimensions, quality
 from tarmac.plans import load
 from tarmac.plans import warehouse as wh
@@ -56,6 +57,23 @@ def src_csv_clean_tokens(spark, folder):
     return rows.groupBy(*names).agg(F.count("*").alias("copies"))
 
 
+@query("src_csv_mixed_layouts", """
+SELECT 'flights_1998_0' || substr("Month", 1, 1) || '.csv' AS source_month, "Origin", "Dest", COUNT(*) AS flights,
+       COUNT(*) FILTER (WHERE "Month" = '3.0') AS weekdays
+FROM rawt WHERE "Year" = '1998' AND "Month" IN ('3.0', '4.0') GROUP BY ALL""")
+def src_csv_mixed_layouts(spark, folder):
+    """Two months of a year, the second with its columns in another order and without the weekday."""
+    landed = work_folder(spark, "landing")
+    text = sample.raw_text(spark, folder).filter("Year = '1998'").select(*schema.RAW_TO_CANONICAL)
+    for month, names in ((3, text.columns), (4, [c for c in text.columns[::-1] if c != "DayOfWeek"])):
+        text.filter(F.col("Month") == f"{month}.0").select(*names).write.csv(
+            periods.monthly_paths(landed, 1998, month), header=True)
+    rows = src.read_flight_files(spark, periods.monthly_paths(landed, 1998))
+    month = F.element_at(F.split("source_file", "/"), -2)
+    return rows.groupBy(month.alias("source_month"), "Origin", "Dest").agg(
+        F.count("*").alias("flights"), F.count("DayOfWeek").alias("weekdays"))
+
+
 @query("src_sample_per_file", raw_sql="""
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_shipdate AS DATE) AS flight_date
 FROM (SELECT * FROM lineitem LIMIT 1000)""")
@@ -600,15 +618,17 @@ def dim_airport_upsert(spark, folder):
         "iata_code", "airport_id", "airport_name", "country_code")
 
 
-@query("dim_airport_enriched", """
+ENRICHED_SQL = """
 SELECT iata_code, CASE WHEN n_nationkey IS NULL THEN airport_name ELSE COALESCE(ref_name, airport_name) END AS airport_name,
        city, CASE WHEN n_nationkey IS NULL THEN NULL ELSE 'US' END AS country_code,
        CASE WHEN n_nationkey % 2 = 0 THEN CAST(n_nationkey AS DOUBLE) END AS latitude
 FROM airports LEFT JOIN (
   SELECT s_nationkey AS n_nationkey, 'O' || chr(65 + s_nationkey) || 'Z' AS iata_code,
-         MAX(s_name) AS ref_name FROM supplier GROUP BY s_nationkey) USING (iata_code)""")
-def dim_airport_enriched(spark, folder):
-    reference = spark.read.parquet(f"{folder}/supplier.parquet").select(
+         MAX(s_name) AS ref_name FROM supplier GROUP BY s_nationkey) USING (iata_code)"""
+
+
+def airport_reference(spark, folder):
+    return spark.read.parquet(f"{folder}/supplier.parquet").select(
         F.expr("'O' || chr(65 + s_nationkey) || 'Z'").alias("iata_code"),
         F.col("s_name").alias("airport_name"),
         F.lit("").alias("city"),
@@ -616,6 +636,11 @@ def dim_airport_enriched(spark, folder):
         F.when(F.col("s_nationkey") % 2 == 0, F.col("s_nationkey")).cast("decimal(9,6)")
         .alias("latitude"),
     )
+
+
+@query("dim_airport_enriched", ENRICHED_SQL)
+def dim_airport_enriched(spark, folder):
+    reference = airport_reference(spark, folder)
     rows = sample.airports(spark, folder).withColumns({
         "country_code": F.lit(None).cast("string"),
         "latitude": F.lit(None).cast("decimal(9,6)"),
@@ -626,6 +651,21 @@ def dim_airport_enriched(spark, folder):
     ).select("iata_code", "airport_name", "city", "country_code", "latitude")
 
 
+@query("dim_airport_enrich_stored", ENRICHED_SQL)
+def dim_airport_enrich_stored(spark, folder):
+    """The stored dimension, read back after two runs of the enrichment."""
+    store = wh.Warehouse(spark, work_folder(spark, "warehouse"))
+    known = sample.numbered_airports(spark, folder)
+    store.append(known.select([
+        (F.col(f.name) if f.name in known.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in schema.DIM_AIRPORT]), "dim_airports")
+    reference = airport_reference(spark, folder).withColumns({
+        c: F.lit(None).cast("double") for c in ("longitude", "utc_offset_hrs")})
+    for _ in range(2):
+        load.enrich_dimensions(store, reference)
+    return store.airports().select("iata_code", "airport_name", "city", "country_code", "latitude")
+
+
 @query("fact_with_keys", f"""
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, carrier_code, carrier_id,
        o.airport_id AS origin_airport_id, d.airport_id AS dest_airport_id
