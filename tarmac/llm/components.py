@@ -5,17 +5,18 @@ from pyspark.sql import functions as F
 from tarmac.llm.common import stored
 
 
-def connected(links, rounds=60):
+def connected(links):
     """(node, root) for every node of `links` (a, b), root being the smallest node it reaches.
 
     Large-star and small-star steps in turn: nodes hang on the smallest node they know until every
     component is a star. Minima are aggregated by key and joined back, so a node with any number
-    of links is a skewed key of a join, not a group in memory.
+    of links is a skewed key of a join, not a group in memory. Steps go on until none changes a link;
+    their number grows with the logarithm of the longest chain.
     """
     edges = stored(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                    .where("a <> b").distinct(), "links")
     state = None
-    for _ in range(rounds):
+    while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("low")).select(
             F.col("a").alias("u"), F.least("a", "low").alias("low"))
