@@ -123,23 +123,24 @@ def clean_flights(raw, order=("input_order",)):
 
 
 def clean_statistics(raw, order=("input_order",)):
-    """Row counts along the chain as one row."""
-    before = raw.agg(F.count("*").alias("rows_raw"))
+    """Row counts along the chain as one row.
+
+    One pass: each flight key keeps its number of rows and what is counted of its last one.
+    """
+    typed = raw.transform(standardise)
+    keys = [c for c in schema.FLIGHT_KEY if c in typed.columns]
+    counted = [c for c in ("is_cancelled", "is_diverted", "arrival_delay_min") if c in typed.columns]
+    last = F.max(F.struct(
+        F.struct(*order).alias("_order"), F.struct(*counted).alias("_row"))).alias("_last")
+    unique = typed.groupBy(*keys).agg(F.count("*").alias("_copies"), last).select(
+        *keys, "_copies", "_last._row.*")
     valid = airports_valid()
-    after = (
-        raw.transform(standardise)
-        .transform(remove_duplicates, order)
-        .agg(
-            F.count("*").alias("rows_after_dedup"),
-            F.count_if(valid).alias("rows_valid"),
-            *outcome_counts(valid),
-        )
-    )
-    names = ["rows_raw", *after.columns]
-    merged = before.unionByName(after, allowMissingColumns=True).agg(
-        *[F.max(c).alias(c) for c in names]
-    )
-    return merged.withColumn("rows_rejected", F.col("rows_raw") - F.col("rows_valid"))
+    return unique.agg(
+        F.coalesce(F.sum("_copies"), F.lit(0)).alias("rows_raw"),
+        F.count("*").alias("rows_after_dedup"),
+        F.count_if(valid).alias("rows_valid"),
+        *outcome_counts(valid),
+    ).withColumn("rows_rejected", F.col("rows_raw") - F.col("rows_valid"))
 
 
 def outcome_counts(valid):

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import Column
 
 from tarmac import schema
+from tarmac.session import work_folder
 
 
 @dataclass
@@ -167,9 +168,17 @@ def invalid_values(df, column, allowed, n=10):
     )
 
 
-def check_values_in_set(df, column, allowed, threshold=0.99):
-    """Values outside the set fail, and so does null unless the set holds it."""
-    counted = df.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
+def _counted(df, column):
+    """How often each value occurs, stored: totals and samples come from it, the rows are read once."""
+    path = work_folder(df.sparkSession, "values")
+    df.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n")).write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def check_values_in_set(df, column, allowed, threshold=0.99, sample=10):
+    """Values outside the set fail, and so does null unless the set holds it. The details show the
+    `sample` most frequent ones."""
+    counted = _counted(df, column)
     good = _allowed(F.col("value"), allowed)
     totals = counted.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
@@ -178,7 +187,7 @@ def check_values_in_set(df, column, allowed, threshold=0.99):
     frequent = (
         counted.filter(F.col("value").isNotNull() & ~good)
         .orderBy(F.desc("n"), F.asc("value"))
-        .limit(10)
+        .limit(sample)
         .agg(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("k"), "value", "n")))
              .alias("top"))
         .select(F.transform("top", lambda t: F.struct(t["value"].alias("value"), t["n"].alias("n")))
@@ -190,22 +199,23 @@ def check_values_in_set(df, column, allowed, threshold=0.99):
     )
 
 
-def check_referential_integrity(df, column, reference, reference_column, threshold=0.99):
-    """Values must occur in the reference table. The lookup joins distinct values, not rows."""
-    counted = df.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
+def check_referential_integrity(df, column, reference, reference_column, threshold=0.99, sample=20):
+    """Values must occur in the reference table. The lookup joins distinct values, not rows; the
+    details show the first `sample` unknown ones."""
+    counted = _counted(df, column)
     known = reference.select(F.col(reference_column).alias("value"), F.lit(True).alias("known"))
     looked_up = counted.join(known.dropna().distinct(), "value", "left")
     totals = looked_up.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
         F.coalesce(F.sum(F.when(F.col("known"), F.col("n"))), F.lit(0)).alias("ok"),
     )
-    sample = (
+    unknown = (
         looked_up.filter(F.col("known").isNull() & F.col("value").isNotNull())
-        .orderBy("value").limit(20)
+        .orderBy("value").limit(sample)
         .agg(F.sort_array(F.collect_list("value")).alias("sample"))
     )
     return _totals_with_sample(
-        totals, sample, "sample", f"referential_integrity::{column}", "consistency", column,
+        totals, unknown, "sample", f"referential_integrity::{column}", "consistency", column,
         threshold, "invalid_values_sample",
     )
 

@@ -2,7 +2,7 @@ import datetime
 from decimal import Decimal
 
 import pytest
-from conftest import raw_row
+from flight_rows import raw_row
 from pyspark.sql import functions as F
 
 from tarmac import schema

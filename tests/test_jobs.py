@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from conftest import raw_row, write_csv
+from flight_rows import raw_row, write_csv
 
 from tarmac import jobs
 from tarmac.operators import model
@@ -49,6 +49,7 @@ def test_sample_per_file_is_split_and_trained(spark, tmp_path, landing):
     metrics = json.loads(part.read_text())
     assert (metrics["rows_total"], metrics["rows_test"]) == (1000, 200)
     assert metrics["roc_auc"] > 0.9
+    assert "distance_miles" in metrics["features"] and metrics["trained_at"]
     frame.limit(50).drop("is_delayed").write.parquet(str(tmp_path / "in"))
     jobs.run(spark, jobs.arguments(["score", "--model", str(tmp_path / "m"), "--input",
                                     str(tmp_path / "in"), "--output", str(tmp_path / "out")]))

@@ -1,7 +1,7 @@
 import datetime
 
 import pytest
-from conftest import RAW_HEADER, raw_row, write_csv
+from flight_rows import RAW_HEADER, raw_row, write_csv
 from pyspark.sql import functions as F
 
 from tarmac import jobs, schema

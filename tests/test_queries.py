@@ -1,7 +1,7 @@
 """Every registered query against its SQL on DuckDB, and the shape of its plan."""
 
 import pytest
-from conftest import SAMPLE
+from flight_rows import SAMPLE
 
 from __spark_entry__ import entry
 from verification.compare import database, difference

@@ -2,7 +2,7 @@ import hashlib
 import json
 
 import pytest
-from conftest import RAW_HEADER, raw_row, write_csv
+from flight_rows import RAW_HEADER, raw_row, write_csv
 from pyspark.sql import functions as F
 
 from tarmac.functions import periods
