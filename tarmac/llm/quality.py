@@ -1,18 +1,20 @@
 """Quality rules: fixed limits, and divergence from what the language looks like.
 
 A document's histograms of character classes and of common words are compared to references of the
-languages by Jensen-Shannon distance (0 to 1). A language's reference is the mean histogram of all its
-documents that pass the fixed limits, taken again over those that are near the first mean, so that junk
-does not bend it; documents of other or unknown language are held against the nearest one.
+languages by Jensen-Shannon distance (0 to 1). A language's reference starts as the median of each bin over
+its distinct texts that pass the fixed limits and becomes the mean of those near it, again and again until it
+is still: neither copies (a text counts once, in however many rows) nor junk texts, while they are the
+minority, bend it. Documents of other or unknown language are held against the nearest one.
 Short documents have noisy histograms, so each distance counts from a minimum of words on.
 
 All of it is column expressions: words are split once, five-word windows are hashed in arrays, character
-classes are counted on what remains when lower-case letters are taken out. Nothing is shuffled but
-one row of sums per language and task. Null texts have no words and fail; an empty table has no
+classes are counted on what remains when lower-case letters are taken out. Histograms of distinct texts
+are shuffled once, then a row of sums per language and task. Null texts have no words and fail; an empty table has no
 references and no rows. Equal rows get equal verdicts. Extra columns are kept; columns named like an
 added one are replaced.
 """
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tarmac.llm.common import column, packed, stored, unpacked
@@ -29,9 +31,14 @@ WORDS_FROM = 60
 FAR_CHARS = 0.26
 MAX_CHARS = 0.17
 MAX_WORDS = 0.23
-#: Documents up to these distances from the first mean make the reference.
+#: Documents up to these distances from the reference so far make the next one.
 TRIM_CHARS = 0.2
 TRIM_WORDS = 0.25
+#: Medians are taken to so many parts, means from whole numbers of so many parts (their sums are exact);
+#: a reference is still when no bin moves by more.
+CELLS = 1000
+PARTS = 10 ** 9
+STILL = 1e-4
 
 # Frequent function words of each language.
 COMMON = {
@@ -42,6 +49,7 @@ COMMON = {
 }
 LANGUAGES = list(COMMON)
 WORDS = sorted({w for words in COMMON.values() for w in words})
+SIZES = {"chars": 7, "common_words": len(WORDS) + 1}
 ADDED = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
          "chars_distance", "words_distance", "kept"]
 
@@ -55,12 +63,13 @@ def measured(documents):
     text = F.coalesce(column("text"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(WORD))
     df = documents.select(
-        packed(documents), F.regexp_extract_all(text, F.lit(WORD), F.lit(0)).alias("words"),
+        packed(documents), F.unhex(F.md5(text.cast("binary"))).alias("key"),
+        F.regexp_extract_all(text, F.lit(WORD), F.lit(0)).alias("words"),
         (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
         F.length(text).cast("long").alias("n_chars_all"))
     either = [w for word in WORDS for w in (word, word.capitalize(), word.upper())]
     df = df.select(
-        "row", "n_dup_lines", "n_chars_all", F.size("words").cast("long").alias("n_words"),
+        "row", "key", "n_dup_lines", "n_chars_all", F.size("words").cast("long").alias("n_words"),
         F.array_join("words", "").alias("solid"),
         F.lower(F.concat(F.lit(" "), F.array_join(
             F.filter("words", lambda w: w.isin(either)), "  "), F.lit(" "))).alias("common"),
@@ -96,13 +105,13 @@ def measured(documents):
               / (len(w.encode()) + 2) for w in WORDS]
     n = F.col("n_words")
     df = df.select(
-        "row", "n_words", "word_chars",
+        "row", "key", "n_words", "word_chars",
         (F.col("n_rest") - F.col("n_rest2")).cast("long").alias("n_symbols"), "n_dup_lines",
         repeat.alias("n_repeat_words"),
         F.array(*[c.cast("double") for c in classes]).alias("chars"),
         F.array(*counts).alias("common_words"))
     return df.select(
-        "row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "row", "key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         ((n < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * n))
         .alias("base_failed"),
         shares("chars").alias("chars"),
@@ -118,14 +127,44 @@ def shares(values):
     return F.transform(values, lambda x: F.when(total(values) > 0, x / total(values)).otherwise(0.0))
 
 
-def references(sound):
-    """{language: (mean character histogram, mean word histogram)}, at most one per known language."""
-    sizes = {"chars": 7, "common_words": len(WORDS) + 1}
-    rows = sound.groupBy(F.col("row.lang").alias("lang")).agg(*[
-        F.avg(F.get(name, F.lit(k))).alias(f"{name}{k}")
-        for name, size in sizes.items() for k in range(size)]).collect()
-    return {r["lang"]: tuple([r[f"{name}{k}"] for k in range(size)] for name, size in sizes.items())
-            for r in rows}
+def medians(texts):
+    """(lang, chars, common_words): the median of each bin, scaled to a sum of 1."""
+    cells = texts.select("lang", F.posexplode(F.concat(*SIZES)).alias("bin", "x")).groupBy(
+        "lang", "bin", F.floor(F.col("x") * CELLS).alias("cell")).count()
+    own = Window.partitionBy("lang", "bin")
+    half = cells.withColumns({"upto": F.sum("count").over(own.orderBy("cell")),
+                              "n": F.sum("count").over(own)}).where("2 * upto >= n")
+    rows = half.groupBy("lang", "bin").agg((F.min("cell") / CELLS).alias("x")).groupBy("lang").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("bin", "x"))), lambda b: b["x"]).alias("all"))
+    first = SIZES["chars"]
+    return rows.select("lang", shares(F.slice("all", 1, first)).alias("chars"),
+                       shares(F.slice("all", first + 1, SIZES["common_words"])).alias("common_words"))
+
+
+def references(texts):
+    """(lang, chars, common_words) of each language with sound texts, one row each."""
+    texts = stored(texts, "texts")
+    known = stored(medians(texts), "references")
+    sums = [F.sum(F.round(F.get(name, F.lit(k)) * PARTS).cast("long")).alias(f"{name}{k}")
+            for name, size in SIZES.items() for k in range(size)]
+    seen = set()
+    while True:
+        old = known.select("lang", *[F.col(name).alias(f"old_{name}") for name in SIZES])
+        near = texts.join(old, "lang").where((distance("chars", "old_chars") <= TRIM_CHARS)
+                                             & (distance("common_words", "old_common_words") <= TRIM_WORDS))
+        means = near.groupBy("lang").agg(F.count("*").alias("n"), *sums, F.sum(
+            F.xxhash64("key").cast("decimal(38,0)")).alias("members"))
+        # A language with no text near its reference keeps it.
+        known = stored(old.join(means, "lang", "left").select("lang", "n", "members", *[
+            F.when(F.col("n") > 0, F.array(*[F.col(f"{name}{k}") / (F.col("n") * F.lit(float(PARTS)))
+                                             for k in range(size)])).otherwise(F.col(f"old_{name}")).alias(name)
+            for name, size in SIZES.items()], *[f"old_{name}" for name in SIZES]), "references")
+        moved = F.greatest(*[F.array_max(F.zip_with(name, f"old_{name}", lambda x, y: F.abs(x - y)))
+                             for name in SIZES])
+        move, *state = known.agg(F.max(moved), F.sum(F.xxhash64("lang", "n", "members").cast("decimal(38,0)"))).first()
+        if move is None or move <= STILL or tuple(state) in seen:
+            return known.select("lang", *SIZES)
+        seen.add(tuple(state))
 
 
 def distance(shares_, reference):
@@ -133,17 +172,18 @@ def distance(shares_, reference):
     def part(a, b):
         return F.when(a > 0, a * F.log2(2 * a / (a + b))).otherwise(0.0)
 
-    both = F.zip_with(shares_, F.array(*[F.lit(float(x)) for x in reference]),
-                      lambda a, b: (part(a, b) + part(b, a)) / 2)
+    both = F.zip_with(shares_, reference, lambda a, b: (part(a, b) + part(b, a)) / 2)
     return F.sqrt(F.greatest(total(both), F.lit(0.0)))
 
 
 def _distances(df, known):
-    for k, (name, added, at_least) in enumerate((("chars", "chars_distance", CHARS_FROM),
-                                                 ("common_words", "words_distance", WORDS_FROM))):
+    known = {r["lang"]: r for r in known.collect()}
+    for name, added, at_least in (("chars", "chars_distance", CHARS_FROM),
+                                  ("common_words", "words_distance", WORDS_FROM)):
         value = F.lit(0.0)
         if known:
-            each = {lang: distance(name, known[lang][k]) for lang in sorted(known)}
+            each = {lang: distance(name, F.array(*[F.lit(x) for x in known[lang][name]]))
+                    for lang in sorted(known)}
             value = F.least(*each.values()) if len(each) > 1 else next(iter(each.values()))
             for lang, d in each.items():
                 value = F.when(F.col("row.lang") == lang, d).otherwise(value)
@@ -160,10 +200,8 @@ def judge(documents, far=FAR_CHARS, chars=MAX_CHARS, words=MAX_WORDS, carry=None
     df = stored(df.withColumn("row", keep), "quality")
     sound = df.where(~F.col("base_failed") & (F.col("n_words") >= WORDS_FROM)
                      & F.col("row.lang").isin(LANGUAGES))
-    first = references(sound)
-    near = _distances(sound, first).where((F.col("chars_distance") <= TRIM_CHARS)
-                                          & (F.col("words_distance") <= TRIM_WORDS))
-    df = _distances(df, first | references(near))
+    texts = sound.select(F.col("row.lang").alias("lang"), "key", *SIZES).dropDuplicates(["lang", "key"])
+    df = _distances(df, references(texts))
     odd = (F.col("chars_distance") > far) | ((F.col("chars_distance") > chars)
                                              & (F.col("words_distance") > words))
     df = df.withColumn("kept", ~F.col("base_failed") & ~odd)

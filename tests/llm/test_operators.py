@@ -224,6 +224,16 @@ def test_quality_equals_sql(documents):
     assert quality.keep_good(docs).columns == docs.columns and quality.judge(documents()).count() == 0
 
 
+@pytest.mark.parametrize("near", [False, True])
+def test_a_junk_text_in_a_third_of_the_rows_does_not_become_the_reference(documents, near):
+    good = [(i, "The " + " of the and to ".join(prose(50 + i, 80).split()) + ".") for i in range(40)]
+    junk = "#$ %& |<> " + " ".join(f"#{w.upper()}$%" for w in prose(9, 90).split())
+    docs = documents(*good, *[(100 + i, junk + (f" <{i}>" if near else "")) for i in range(20)])
+    assert {r["doc_id"] for r in quality.keep_good(docs).collect()} == {i for i, _ in good}
+    mostly = documents(*good[:20], *[(100 + i, junk) for i in range(200)])
+    assert {r["doc_id"] for r in quality.keep_good(mostly).collect()} == {i for i, _ in good[:20]}
+
+
 # --- quotations -------------------------------------------------------------------------------
 
 def test_conversations_lose_their_quotes_and_gain_parents(spark):
