@@ -4,7 +4,9 @@ A document's histograms of character classes and of common words are compared to
 languages by Jensen-Shannon distance (0 to 1). A language's reference starts as the median of each bin over
 its distinct texts that pass the fixed limits and becomes the mean of those near it, again and again until it
 is still: neither copies (a text counts once, in however many rows) nor junk texts, while they are the
-minority, bend it. Documents of other or unknown language are held against the nearest one.
+minority, bend it. Every value of `lang` has its own reference; documents without language, or of one with too few
+distinct texts to tell, have distances of 0 and are judged by the fixed limits alone. The counted words are
+those of four languages; elsewhere the word histogram tells little and the characters decide.
 Short documents have noisy histograms, so each distance counts from a minimum of words on.
 
 All of it is column expressions: words are split once, five-word windows are hashed in arrays, character
@@ -34,6 +36,8 @@ MAX_WORDS = 0.23
 #: Documents up to these distances from the reference so far make the next one.
 TRIM_CHARS = 0.2
 TRIM_WORDS = 0.25
+#: A language has a reference from so many distinct texts on.
+USABLE = 10
 #: Medians are taken to so many parts, means from whole numbers of so many parts (their sums are exact);
 #: a reference is still when no bin moves by more.
 CELLS = 1000
@@ -47,7 +51,7 @@ COMMON = {
     "de": ["der", "die", "und", "in", "den", "von", "zu", "das", "mit", "nicht", "ist", "ein"],
     "es": ["de", "la", "que", "el", "en", "los", "del", "se", "las", "por", "un", "para"],
 }
-LANGUAGES = list(COMMON)
+LANGUAGES = list(COMMON)  # of the SQL
 WORDS = sorted({w for words in COMMON.values() for w in words})
 SIZES = {"chars": 7, "common_words": len(WORDS) + 1}
 ADDED = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
@@ -142,9 +146,10 @@ def medians(texts):
 
 
 def references(texts):
-    """(lang, chars, common_words) of each language with sound texts, one row each."""
+    """(lang, chars, common_words) of each language with enough sound texts, one row each."""
     texts = stored(texts, "texts")
-    known = stored(medians(texts), "references")
+    usable = texts.groupBy("lang").count().where(F.col("count") >= USABLE).select("lang")
+    known = stored(medians(texts).join(usable, "lang", "left_semi"), "references")
     sums = [F.sum(F.round(F.get(name, F.lit(k)) * PARTS).cast("long")).alias(f"{name}{k}")
             for name, size in SIZES.items() for k in range(size)]
     seen = set()
@@ -177,17 +182,12 @@ def distance(shares_, reference):
 
 
 def _distances(df, known):
-    known = {r["lang"]: r for r in known.collect()}
+    held = known.select(F.col("lang").alias("known"), *[F.col(name).alias(f"of_{name}") for name in SIZES])
+    df = df.join(held, F.col("row.lang") == F.col("known"), "left")
     for name, added, at_least in (("chars", "chars_distance", CHARS_FROM),
                                   ("common_words", "words_distance", WORDS_FROM)):
-        value = F.lit(0.0)
-        if known:
-            each = {lang: distance(name, F.array(*[F.lit(x) for x in known[lang][name]]))
-                    for lang in sorted(known)}
-            value = F.least(*each.values()) if len(each) > 1 else next(iter(each.values()))
-            for lang, d in each.items():
-                value = F.when(F.col("row.lang") == lang, d).otherwise(value)
-        df = df.withColumn(added, F.when(F.col("n_words") >= at_least, value).otherwise(0.0))
+        df = df.withColumn(added, F.when(F.col("known").isNotNull() & (F.col("n_words") >= at_least),
+                                         distance(name, f"of_{name}")).otherwise(0.0))
     return df
 
 
@@ -198,8 +198,7 @@ def judge(documents, far=FAR_CHARS, chars=MAX_CHARS, words=MAX_WORDS, carry=None
     df = measured(slim)
     keep = F.struct(*[F.col("row").getField(c).alias(c) for c in dict.fromkeys([*carry, "lang"])])
     df = stored(df.withColumn("row", keep), "quality")
-    sound = df.where(~F.col("base_failed") & (F.col("n_words") >= WORDS_FROM)
-                     & F.col("row.lang").isin(LANGUAGES))
+    sound = df.where(~F.col("base_failed") & (F.col("n_words") >= WORDS_FROM) & F.col("row.lang").isNotNull())
     texts = sound.select(F.col("row.lang").alias("lang"), "key", *SIZES).dropDuplicates(["lang", "key"])
     df = _distances(df, references(texts))
     odd = (F.col("chars_distance") > far) | ((F.col("chars_distance") > chars)

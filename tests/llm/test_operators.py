@@ -234,6 +234,17 @@ def test_a_junk_text_in_a_third_of_the_rows_does_not_become_the_reference(docume
     assert {r["doc_id"] for r in quality.keep_good(mostly).collect()} == {i for i, _ in good[:20]}
 
 
+def test_languages_are_not_held_against_others(documents):
+    good = [(i, "The " + " of the and to ".join(prose(50 + i, 80).split()) + ".") for i in range(20)]
+    greek = str.maketrans("abcdefghij", "αβγδεζηθικ")
+    other = [(100 + i, prose(i, 80).translate(greek), "el") for i in range(20)]
+    few = [(200, prose(1, 80).translate(greek), "xx"), (201, prose(2, 80).translate(greek), None)]
+    junk = [(300, " ".join(f"#{w.upper()}$%" for w in prose(9, 90).split()), "el")]
+    for docs in (documents(*good, *other, *few, *junk), documents(*other, *few, *junk)):
+        assert {r["doc_id"] for r in quality.keep_good(docs).where("doc_id >= 100").collect()} == {
+            r[0] for r in other + few}
+
+
 # --- quotations -------------------------------------------------------------------------------
 
 def test_conversations_lose_their_quotes_and_gain_parents(spark):
