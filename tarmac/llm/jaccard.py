@@ -15,7 +15,7 @@
 
 Texts with fewer words than n are one n-gram; without words the set is empty and linked with
 nothing. Null texts are empty. Rows of equal text are in one component; null doc_ids count in
-sizes but name no component, so one of only such rows has a null id. An empty table gives no rows.
+sizes but name no component, so a component of only such rows has a null id. An empty table gives no rows.
 Extra columns are kept by `keep_one`; the digest has its own columns only.
 """
 
@@ -76,8 +76,8 @@ def _described(n, seed):
                 row, gram, sizes = _sets(part, n)
                 node, check = _nodes(row, gram, sizes, seed)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(sizes, pa.int64()), pa.array(node), pa.array(check)],
-                    names=["row", "size", "node", "check"])
+                    [*part.columns[:-1], pa.array(sizes, pa.int64()), pa.array(node), pa.array(check)],
+                    names=[*part.schema.names[:-1], "size", "node", "check"])
     return scan
 
 
@@ -184,19 +184,22 @@ def _possible(percent):
 class Join:
     """The steps of one join over a table of documents."""
 
-    def __init__(self, documents, n=N, percent=PERCENT):
+    def __init__(self, documents, n=N, percent=PERCENT, keys=()):
+        """`keys` are columns added to doc_id in what `rooted` gives."""
         self.documents, self.n, self.percent, self.seed = documents, n, percent, 0
-        self.texts = documents.select(column("doc_id"), column("text"))
+        self.named = ["doc_id", *[f"key{i}" for i in range(len(keys))]]
+        self.texts = documents.select(column("doc_id").alias("doc_id"), *[
+            key.alias(name) for key, name in zip(keys, self.named[1:])], column("text").alias("text"))
 
     def described(self):
-        """(row, size, node) of every document; another seed where two sets share a node."""
-        kind = self.texts.schema["doc_id"].dataType.simpleString()
+        """(doc_id, keys, size, node) of every document; another seed where two sets share a node."""
+        kinds = ", ".join(f"{c} {self.texts.schema[c].dataType.simpleString()}" for c in self.named)
         while True:
             df = stored(self.texts.mapInArrow(_described(self.n, self.seed),
-                                              f"row {kind}, size long, node long, check long"), "sets")
+                                              f"{kinds}, size long, node long, check long"), "sets")
             clash = df.groupBy("node").agg(F.min("check").alias("x"), F.max("check").alias("y"))
             if clash.where("x <> y").isEmpty():
-                return df.select(F.col("row").alias("doc_id"), "size", "node")
+                return df.select(*self.named, "size", "node")
             self.seed += 1
 
     def prefixes(self):
@@ -278,14 +281,18 @@ class Join:
             return roots
         return connected(first.unionByName(second))
 
-    def result(self):
-        """(doc_id, n_shingles, component_id, root) of every document."""
+    def rooted(self):
+        """(doc_id, keys, n_shingles, root) of every document; null roots are those of empty sets."""
         docs = self.described()
         roots = self.roots()
         named = docs.join(roots.withColumnRenamed("node", "k"), F.col("node") == F.col("k"), "left").select(
-            "doc_id", F.col("size").alias("n_shingles"),
+            *self.named, F.col("size").alias("n_shingles"),
             F.when(F.col("size") > 0, F.coalesce("root", "node")).alias("root"))
-        named = stored(named, "rooted")
+        return stored(named, "rooted")
+
+    def result(self):
+        """(doc_id, n_shingles, component_id) of every document."""
+        named = self.rooted()
         least = named.where(F.col("root").isNotNull()).groupBy(F.col("root").alias("k")).agg(
             F.min("doc_id").alias("least"))
         return named.join(least, F.col("root") == F.col("k"), "left").select(
@@ -298,22 +305,30 @@ def join(documents, n=N, percent=PERCENT):
     return Join(documents, n, percent).result()
 
 
+def row_key():
+    """A digest of doc_id and text, null and empty ids apart."""
+    doc = column("doc_id").cast("string")
+    return F.unhex(F.md5(F.concat(F.when(doc.isNull(), F.lit("-")).otherwise(F.concat(F.length(doc), F.lit(" "), doc)),
+                                  F.lit("\n"), F.coalesce(column("text"), F.lit(""))).cast("binary")))
+
+
 def keep_one(documents, n=N, percent=PERCENT):
-    """Documents without those that are linked, directly or not, to one with a smaller doc_id.
+    """One row of each component, and all rows without words.
 
-    Of rows that share component and doc_id one stays; all rows without words stay, and so do
-    those with a null doc_id in a component of nothing else.
+    The least doc_id stays, nulls last; of rows that share it the least digest of the text, and of equal
+    texts the least row. Rows of one doc_id with unlike texts are in components of their own.
     """
-    found = stored(join(documents, n, percent), "components")
-    empty = F.col("n_shingles") == 0
-    chosen = found.where(~empty & (F.col("doc_id") == F.col("component_id"))).select(
-        F.col("doc_id").alias("chosen")).distinct()
-    rows = documents.select(packed(documents), column("doc_id").alias("doc_id"),
+    found = Join(documents, n, percent, [row_key()]).rooted()
+    chosen = found.where(F.col("root").isNotNull()).groupBy("root").agg(F.min(F.struct(
+        F.col("doc_id").isNull().alias("none"), "doc_id", "key0")).alias("first")).select(
+        F.col("first.key0").alias("chosen"))
+    chosen = stored(chosen, "chosen")
+    rows = documents.select(packed(documents), row_key().alias("key"),
                             F.regexp_like(F.coalesce(column("text"), F.lit("")),
                                           F.lit(r"[^\x20\x09-\x0D]")).alias("has_words"))
-    kept = rows.where("has_words").join(chosen, F.col("doc_id") == F.col("chosen"), "left_semi")
-    once = kept.groupBy("doc_id").agg(F.min("row").alias("row")).select("row")
-    rest = rows.where(~F.col("has_words") | F.col("doc_id").isNull()).select("row")
+    kept = rows.where("has_words").join(chosen, F.col("key") == F.col("chosen"), "left_semi")
+    once = kept.groupBy("key").agg(F.min("row").alias("row")).select("row")
+    rest = rows.where(~F.col("has_words")).select("row")
     return unpacked(once.unionByName(rest), documents.columns)
 
 

@@ -174,6 +174,16 @@ def test_join_finds_the_components_of_brute_force(documents):
     assert {1, 2, 3} <= set(ids)
 
 
+def test_one_row_of_each_component_stays(documents):
+    a, b, c, d = (prose(900 + i, 60) for i in range(4))
+    texts = [(1, a), (7, a + " more"), (7, b), (7, b + " more"), (8, b), (None, a), (None, c), (None, c + " x"),
+             (9, d), (9, d), (None, ""), (None, "")]
+    kept = rows(jaccard.keep_one(documents(*texts)).select("doc_id", "text"))
+    assert [r for r in kept if r[1] == ""] == [(None, "")] * 2
+    left = {(doc, next(x for x in (a, b, c, d) if text.startswith(x))) for doc, text in kept if text}
+    assert len(kept) == 6 and left == {(1, a), (7, b), (None, c), (9, d)}
+
+
 def test_join_of_nothing(documents):
     assert jaccard.join(documents()).count() == 0 and jaccard.keep_one(documents()).count() == 0
 
