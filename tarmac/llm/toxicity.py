@@ -1,13 +1,15 @@
 """Toxicity by maximum-scoring segments.
 
 * Tokens (runs of letters and digits, hashed into a table of fixed width) get log-odds of toxic against clean training
-  texts (how many have it, copies once) under a Dirichlet prior: pseudo-counts in proportion to the token's count over all documents, so a rare
-  token is drawn to 0. Log-odds that are not significant or below `TELLING` count as 0, and every token costs `DRIFT`.
+  texts (how many have it, n near copies as 1 + ln n) under a Dirichlet prior: pseudo-texts in proportion to the token's count
+  over all documents and `LEAST` more for each token, dealt to the labels by their size, so a rare token is drawn to 0.
+  Log-odds below `TELLING` count as 0, and every token costs `DRIFT`.
 * One scan over the tokens with a positive score finds all maximal segments (linear time); the tokens
   between them only add their cost.
 * Segment scores become expected numbers of segments as good by chance, E = K n exp(-lambda S): lambda from the
   token scores of clean texts, K from their best segments. The evidence -ln E of a text's significant segments adds up
-  and a logistic curve, fitted on the training texts, turns it into a score from 0 to 1.
+  and a logistic curve, fitted on the training texts, near copies once, turns it into a score from 0 to 1. K and the
+  curve see each training text by the counts of the others, else words that only it has would look like proof.
 
 Labels are learned from at most `SAMPLE` labelled rows, drawn by hash of doc_id, of those not held out: a
 bounded table that every task may hold. Background counts and scores cover all documents. Labels of one
@@ -29,7 +31,8 @@ _SHIFT = np.uint64(64 - BITS)
 SAMPLE = 20_000
 #: Pseudo-counts of the prior, as a share of the training counts.
 PRIOR = 0.005
-SIGNIFICANT = 3.0
+#: Pseudo-texts that every token has besides.
+LEAST = 1.5
 TELLING = 2.0
 DRIFT = 0.3
 THRESHOLD = 0.3
@@ -57,37 +60,46 @@ def _background(batch, counters):
         counters += np.bincount(_buckets(part, 0)[0], minlength=WIDTH)
 
 
-def _contexts(batches):
-    """(bucket, context, toxic): each token of a text once, with one of the places it has there."""
+def _classes(h, first):
+    """A name for each text that near copies mostly share: the least two hashes of its three-word contexts."""
+    around = np.zeros(len(h) + 2, np.uint64)
+    around[1:-1] = h
+    inner = tokens.ngrams(around, 3)
+    out = np.zeros(len(first) - 1, np.uint64)
+    full = np.flatnonzero(np.diff(first) > 0)
+    for k in (1, 2):
+        salted = tokens.mixed(inner ^ np.uint64(0x9E3779B97F4A7C15 * k % 2 ** 64))
+        if len(full):
+            out[full] = tokens.mixed(out[full] + np.minimum.reduceat(salted, first[full]))
+    return out.view(np.int64)
+
+
+def _evidence(batches):
+    """(bucket, class, toxic): each token of a text once, with the class of the text."""
     for batch in batches:
         for part in pieces(batch):
             data, offsets = utf8(part.column(0))
             _, _, h, first = tokens.words(data, offsets, tokens.ALNUM)
-            toxic = np.repeat(part.column(1).to_numpy(zero_copy_only=False), np.diff(first))
-            around = np.zeros(len(h) + 2, np.uint64)
-            around[1:-1] = h
-            context = tokens.ngrams(around, 3)
             bucket = (h >> _SHIFT).astype(np.int64)
             row = np.repeat(np.arange(part.num_rows), np.diff(first))
-            order = np.lexsort((context, bucket, row))
-            bucket, context, row = bucket[order], context[order], row[order]
-            new = np.ones(len(order), bool)
-            new[1:] = (bucket[1:] != bucket[:-1]) | (row[1:] != row[:-1])
+            pairs = np.unique(row.astype(np.int64) * WIDTH + bucket)
+            row, bucket = pairs // WIDTH, pairs % WIDTH
+            toxic = part.column(1).to_numpy(zero_copy_only=False)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(bucket[new]), pa.array(context[new].view(np.int64)),
-                 pa.array(toxic[order][new])], names=["bucket", "context", "toxic"])
+                [pa.array(bucket), pa.array(_classes(h, first)[row]), pa.array(toxic[row].astype(bool))],
+                names=["bucket", "class", "toxic"])
 
 
 def label_counts(rows):
-    """Clean and toxic texts with each token bucket, where a text counts by a token's context in it.
-
-    A text's context is the neighbourhood with the least hash, so copies, exact or near, mostly count
-    once: a much copied text does not make its words look telling.
-    """
-    seen = rows.mapInArrow(_contexts, "bucket long, context long, toxic boolean").distinct()
+    """Clean and toxic texts with each token bucket. A class of n rows counts 1 + ln n: copies do not
+    dominate and are not hidden, and a phrase counts for all the different texts that have it."""
+    seen = rows.mapInArrow(_evidence, "bucket long, class long, toxic boolean").groupBy(
+        "bucket", "class", "toxic").agg(F.count("*").alias("n"))
+    # Whole numbers, so that sums do not depend on the order.
+    weight = F.sum(F.round((1 + F.log("n")) * 10 ** 6).cast("long")).alias("weight")
     out = np.zeros((2, WIDTH))
-    for r in seen.groupBy("bucket", "toxic").count().toLocalIterator():
-        out[int(r["toxic"]), r["bucket"]] = r["count"]
+    for r in seen.groupBy("bucket", "toxic").agg(weight).toLocalIterator():
+        out[int(r["toxic"]), r["bucket"]] = r["weight"] / 10 ** 6
     return out
 
 
@@ -96,14 +108,15 @@ def _prior(background, counted, prior=PRIOR):
 
 
 def log_odds(background, clean, toxic, prior=PRIOR):
-    """Token scores before the drift."""
-    alpha = _prior(background, clean.sum() + toxic.sum(), prior)
-    t, c = toxic + alpha, clean + alpha
-    odds = np.log(t / (t.sum() - t)) - np.log(c / (c.sum() - c))
-    # Significance with half a text more on either side: a token of one or two texts tells nothing.
-    t, c = toxic + 0.5, clean + 0.5
-    z = (np.log(t / toxic.sum()) - np.log(c / clean.sum())) / np.sqrt(1 / t + 1 / c)
-    return np.where((z >= SIGNIFICANT) & (odds >= TELLING), odds, 0.0)
+    """Token scores before the drift, and the same as a clean and as a toxic training text sees them: without itself."""
+    n, t, c = clean.sum() + toxic.sum(), toxic.sum(), clean.sum()
+    alpha = _prior(background, n, prior) + LEAST
+
+    def odds(clean, toxic):
+        x = np.log((toxic + alpha * t / n) / t) - np.log((clean + alpha * c / n) / c)
+        return np.where(x >= TELLING, x, 0.0)
+
+    return odds(clean, toxic), [odds(np.maximum(clean - 1, 0), toxic), odds(clean, np.maximum(toxic - 1, 0))]
 
 
 def decay(scores, weights):
@@ -174,15 +187,18 @@ def _found(part, k, scores):
 def _best(shared):
     def scan(batches):
         for batch in batches:
-            rows = {"n": [], "best": [], "toxic": batch.column(1).to_pylist(), "found": []}
             for part in pieces(batch):
-                for n, found in _found(part, 0, shared.value):
-                    rows["n"].append(n)
-                    rows["best"].append(max([s for _, _, s, _, _ in found], default=0.0))
-                    rows["found"].append([s for _, _, s, _, _ in found])
-            yield pa.RecordBatch.from_pydict(rows, schema=pa.schema([
-                ("n", pa.int64()), ("best", pa.float64()), ("toxic", pa.bool_()),
-                ("found", pa.list_(pa.float64()))]))
+                data, offsets = utf8(part.column(0))
+                _, _, h, first = tokens.words(data, offsets, tokens.ALNUM)
+                toxic = part.column(1).to_pylist()
+                each = [list(_found(part, 0, scores)) for scores in shared.value]
+                rows = [each[int(label)][i] for i, label in enumerate(toxic)]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(_classes(h, first)), pa.array([n for n, _ in rows], pa.int64()),
+                    pa.array([max([s for _, _, s, _, _ in f], default=0.0) for _, f in rows], pa.float64()),
+                    pa.array(toxic, pa.bool_()),
+                    pa.array([[s for _, _, s, _, _ in f] for _, f in rows], pa.list_(pa.float64()))],
+                    names=["class", "n", "best", "toxic", "found"])
     return scan
 
 
@@ -211,10 +227,13 @@ def fit(documents, labels, sample=SAMPLE):
     clean, toxic = label_counts(rows)
     if not clean.any() or not toxic.any():
         return Model(np.zeros(WIDTH), 1.0, 1.0, (-100.0, 0.0))
-    scores = log_odds(background, clean, toxic)
+    scores, without = log_odds(background, clean, toxic)
     rate = decay(scores - DRIFT, clean + _prior(background, clean.sum() + toxic.sum()))
-    shared = spark.sparkContext.broadcast(scores)
-    seen = rows.mapInArrow(_best(shared), "n long, best double, toxic boolean, found array<double>").toPandas()
+    shared = spark.sparkContext.broadcast(without)
+    seen = rows.mapInArrow(_best(shared), "class long, n long, best double, toxic boolean, found array<double>").toPandas()
+    # One text of a class, the same whatever the order of the rows.
+    seen["all"] = [tuple(f) for f in seen["found"]]
+    seen = seen.sort_values(["class", "toxic", "n", "all"]).drop_duplicates(["class", "toxic"])
     calm = seen[~seen["toxic"] & (seen["n"] > 0)]
     k = float(np.exp(np.mean(rate * calm["best"] - np.log(calm["n"])) - np.euler_gamma)) if len(calm) else 1.0
     model = Model(scores, rate, max(k, 1e-12), (0.0, 1.0))

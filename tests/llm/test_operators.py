@@ -67,6 +67,19 @@ def test_toxic_words_are_learned_and_held_out_rows_are_not_used(spark, documents
     assert (toxicity.fit(docs, flipped).scores == model.scores).all()
 
 
+def test_copies_and_stock_phrases_are_learned(spark, documents):
+    docs = [(i, prose(i, 60)) for i in range(400)]
+    stock, copied = " ".join(f"stock{k}" for k in range(8)), " ".join(f"copied{k}" for k in range(40))
+    docs += [(1000 + i, prose(1000 + i, 30) + f" {stock} " + prose(2000 + i, 20)) for i in range(60)]
+    docs += [(3000 + i, copied) for i in range(200)]
+    clean = " ".join(f"plain{k}" for k in range(40))
+    docs += [(5000 + i, clean) for i in range(200)]
+    labels = spark.createDataFrame([(i, 1, int(1000 <= i < 5000)) for i, _ in docs], "doc_id long, quality int, toxic int")
+    docs = documents(*docs)
+    got = toxicity.digest(toxicity.score(docs, toxicity.fit(docs, labels))).collect()
+    assert {r["doc_id"] for r in got if r["predicted"]} == {r["doc_id"] for r in got if 1000 <= r["doc_id"] < 5000}
+
+
 def test_no_labels_and_no_documents(spark, documents):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert {r["score"] for r in toxicity.score(documents(*ODD), toxicity.fit(documents(*ODD), none)).collect()} < {0.0, 1e-43} | {
