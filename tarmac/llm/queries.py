@@ -4,7 +4,7 @@ import os
 
 import corpus_pipeline
 from tarmac.llm import (
-    decontaminate, hosts, jaccard, mixing, quality, quotations, repeats, token_counts, toxicity,
+    decontaminate, hosts, jaccard, merkle, mixing, neighbours, phrases, quality, quotations, repeats, token_counts, toxicity,
 )
 from tarmac.llm import secret_scan as secrets
 from tarmac.llm.common import ship_code
@@ -83,6 +83,21 @@ def op10(spark, folder):
     return repeats.measure(table(spark, folder, "documents"))
 
 
+@query("op11_neighbours")
+def op11(spark, folder):
+    return neighbours.nearest(table(spark, folder, "embeddings"))
+
+
+@query("op12_phrases", phrases.ORACLE_SQL)
+def op12(spark, folder):
+    return phrases.mine(table(spark, folder, "documents"))
+
+
+@query("op13_merkle")
+def op13(spark, folder):
+    return merkle.manifest(table(spark, folder, "documents"))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, folder):
     return corpus_pipeline.run(spark, folder)
