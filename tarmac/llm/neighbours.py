@@ -8,9 +8,10 @@
 * A window reaches `REACH` radii to both sides, so a vector at the radius or nearer falls into each with probability 0.9 at
   least. The threshold is the number of collisions that such a vector reaches with probability 1 - `MISSED`. A search ends when the
   k-th best inner product found is that of the radius; then every nearer vector has had that chance.
-* Rows are dealt into blocks of about `BLOCK`, queries into chunks; a block meets a chunk in one task. The first blocks
-  set a bound (the k-th best product so far) which ends the search in all later blocks at that radius; waves of blocks grow
-  sixteenfold. Blocks whose norms cannot reach the bound are skipped. Nothing limits the number of candidates.
+* Rows are dealt into blocks of about `BLOCK`, queries into chunks; a block meets a chunk in one task. In the first block
+  the k-th best of `TRIED` vectors bounds the radius, and windows widen up to it. What is found there is the bound (the
+  k-th best product so far) for the next blocks, whose windows open at that radius at once; waves of blocks
+  grow sixteenfold. Blocks whose norms cannot reach the bound are skipped. Nothing limits the number of candidates.
 
 Vectors that are null, empty, zero or hold null or non-finite components take no part. Products are taken between vectors of
 equal length only. Rows count one by one: repeated rows are candidates of each other, and each is a query of its own. A row
@@ -28,10 +29,11 @@ from pyspark.sql import functions as F
 from tarmac.llm.common import column, stored
 
 K = 20
-PROJECTIONS = 128
+PROJECTIONS = 96
 REACH = 1.645
 MISSED = 0.02
-WIDEN = 1.25
+WIDEN = 1.1
+TRIED = 512
 BLOCK = 8192
 CHUNK = 4096
 SEED = 17
@@ -100,20 +102,27 @@ def best(scores, names, k):
 def searched(x, names, own, queries, bounds, k=K, projections=PROJECTIONS, seed=SEED, reach=REACH, missed=MISSED):
     """For each query the places and scores of the k best vectors found that reach its bound.
 
-    `own` is the place of the query itself among the vectors, or -1; `bounds` may be -inf.
+    `own` is the place of the query itself among the vectors, or -1; `bounds` may be -inf: then some vectors are
+    tried first, and the search starts below the radius of the k-th best of them.
     """
     arrays = Arrays(x, projections, seed)
     enough = threshold(projections, reach, missed)
-    at = arrays.projected(queries)
+    at, bounds = arrays.projected(queries), np.array(bounds, np.float64)
     sizes = np.abs(queries).max(axis=1)
     sizes = sizes * np.sqrt(((queries / sizes[:, None]) ** 2).sum(axis=1)) * arrays.scale
     seen = np.zeros((len(queries), len(x)), bool)
     seen[np.flatnonzero(own >= 0), own[own >= 0]] = True
     found = [(np.zeros(0, np.int64), np.zeros(0)) for _ in queries]
-    ends = np.array([arrays.radius(b / s) if b > -math.inf else math.inf for b, s in zip(bounds, sizes)])
     hopeless = bounds > sizes * arrays.largest * (1 + 1e-9)
+    steps = np.zeros(len(queries), np.int64)
+    for q in np.flatnonzero(bounds == -math.inf).tolist():
+        tried = np.flatnonzero(~seen[q, :TRIED])
+        if len(tried) >= k:
+            bounds[q] = np.sort((x[tried] * queries[q]).sum(axis=1))[-k]
+            steps[q] = 2
+    ends = np.array([arrays.radius(b / s) if b > -math.inf else math.inf for b, s in zip(bounds, sizes)])
     ends *= 1 + 1e-9
-    radii = np.where(np.isfinite(ends), ends / WIDEN ** 2, math.sqrt(2) * arrays.largest / 4)
+    radii = ends / WIDEN ** steps
     active = np.flatnonzero(~hopeless)
     while len(active):
         low, high = arrays.windows(at[active], radii[active], reach)
@@ -124,19 +133,19 @@ def searched(x, names, own, queries, bounds, k=K, projections=PROJECTIONS, seed=
             places, scores = found[q]
             if len(new):
                 seen[q, new] = True
-                own_scores = (x[new] * queries[q]).sum(axis=1)
-                reaching = own_scores >= bounds[q]
+                # Products as fast as they come, then those near the bound in an order of sums that copies share.
+                new = new[x[new] @ queries[q] >= bounds[q] - 1e-9 * sizes[q] * arrays.largest]
+                products = (x[new] * queries[q]).sum(axis=1)
+                reaching = products >= bounds[q]
                 places = np.concatenate([places, new[reaching]])
-                scores = np.concatenate([scores, own_scores[reaching]])
+                scores = np.concatenate([scores, products[reaching]])
                 top = best(scores, names[places], k)
                 places, scores = found[q] = places[top], scores[top]
             done = len(scores) >= k and arrays.radius(np.sort(scores)[-k] / sizes[q]) <= radii[q]
             if not done and radii[q] < ends[q]:
                 going.append(q)
         active = np.array(going, np.int64)
-        wider = radii[active] * WIDEN
-        # Beyond twice the longest vector there is nothing more to separate: look at the rest.
-        radii[active] = np.where(wider > 2 * arrays.largest, ends[active], np.minimum(wider, ends[active]))
+        radii[active] = np.minimum(radii[active] * WIDEN, ends[active])
     return found
 
 
