@@ -12,9 +12,12 @@ all words, but no source more than `REPEAT` times its own; what is above goes to
   the shards. Each leaf knows its exact quotas; the permuted blocks of a source are dealt to
   the leaves in runs of these lengths, so blocks are disjoint. Rows are shuffled inside their shard.
 
+* The tree is built for `RANGE` sources at a time (their blocks are spread evenly by a tree of their own), so there may be any
+  number of sources and nothing about them passes through the driver but the level at which targets are shared.
+
 Block and quota tables have at most (sources x BLOCKS) and (sources x shards) rows whatever the number of
-documents. Per-source figures pass through the driver: the catalogue of sources may have `MAX_SOURCES`
-entries, more is refused. Hot sources are pre-aggregated by block before anything is shuffled.
+documents. Hot sources are pre-aggregated by block before anything is shuffled. Texts meet the plan of the blocks by
+broadcast where it has `PLAN_ROWS` rows at most (its size is checked), else by a shuffle of both.
 
 Null or empty texts have size 0 and follow their block. Rows with equal or null doc_id share a block and a fate.
 An empty table gives an empty mix. Equal input and seed give the same mix, whatever the partitioning. Extra columns
@@ -22,19 +25,24 @@ are kept; columns named like an added one are replaced.
 """
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarmac.llm import tokens
 from tarmac.llm.common import column, packed, pieces, stored, unpacked, utf8
+from tarmac.llm.places import placed, runs, sorted_rows
 
 WEIGHTS = (1, 2, 3)
 REPEAT = 3
 BLOCKS = 4096
 SHARDS = 64
 SEED = 42
-MAX_SOURCES = 100_000
+#: Sources that share one splitting tree: with all their copies they stay below what one draw can take.
+RANGE = 4096
+#: The plan of the blocks is broadcast up to this number of rows, about 100 bytes each.
+PLAN_ROWS = 1 << 18
 #: Permutations tried to come within a thousandth of a target that few blocks must make up.
 TRIES = 16
 
@@ -62,7 +70,7 @@ def sizes(documents, seed=SEED, blocks=BLOCKS):
 
 
 def targets(totals, weights=WEIGHTS, repeat=REPEAT):
-    """Words to take of each source. `totals`: words per source, in the order of the weights."""
+    """Words to take of each source, in plain Python. `totals`: words per source, in the order of the weights."""
     totals = np.asarray(totals, np.float64)
     shares = np.resize(np.asarray(weights, np.float64), len(totals))
     out = np.zeros(len(totals))
@@ -80,7 +88,29 @@ def targets(totals, weights=WEIGHTS, repeat=REPEAT):
     return out
 
 
-def splitting_tree(quotas, shards, seed=SEED):
+def catalogue(per_block, weights=WEIGHTS, repeat=REPEAT):
+    """(source, number, source_size, target) of every source; numbers follow the code points, null is last."""
+    per_source = per_block.groupBy("source").agg(F.sum("words").cast("long").alias("source_size")).withColumns(
+        {"none": F.col("source").isNull(), "all": F.lit(0)})
+    rows = sorted_rows(per_source, "all", ["none", "source"])
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("idx") % len(weights) + 1).cast("int"))
+    sources = stored(placed(rows, runs(rows, "all"), "all").select(
+        "source", F.col("idx").alias("number"), "source_size", weight.alias("weight")), "sources")
+    most = repeat * F.col("source_size")
+    level, capped = 0.0, -1
+    while True:
+        full = F.lit(level) * F.col("weight") > most
+        seen = sources.where("source_size > 0").agg(
+            F.count_if(full).alias("capped"), F.sum("source_size").alias("all"), F.sum(F.when(full, most)).alias("taken"),
+            F.sum(F.when(~full, F.col("weight"))).alias("free")).first()
+        if seen["capped"] == capped or not seen["free"]:
+            break
+        level, capped = (seen["all"] - (seen["taken"] or 0)) / seen["free"], seen["capped"]
+    target = F.least(F.lit(level) * F.col("weight"), most.cast("double"))
+    return sources.select("source", "number", "source_size", target.alias("target"))
+
+
+def splitting_tree(quotas, shards, seed=SEED, part=0):
     """Blocks of each source (columns) for each shard (rows); column sums are the quotas.
 
     A node with k shards sends half of its blocks, in proportion to its halves of shards, to the left.
@@ -95,7 +125,7 @@ def splitting_tree(quotas, shards, seed=SEED):
             continue
         middle = (low + high) // 2
         total = int(have.sum())
-        draw = np.random.default_rng([seed, low, high])
+        draw = np.random.default_rng([seed, low, high, part] if part else [seed, low, high])
         share = total * (middle - low)
         left_total = share // (high - low) + int(draw.integers(high - low) < share % (high - low))
         left = draw.multivariate_hypergeometric(have, left_total, method="marginals")
@@ -121,17 +151,7 @@ def _choose(words, order, goal):
 
 def plan(per_block, weights=WEIGHTS, repeat=REPEAT, shards=SHARDS, seed=SEED):
     """From (source, block, words): (source, block, source_size, target, shards: where copies go)."""
-    spark = per_block.sparkSession
-    per_source = per_block.groupBy("source").agg(F.sum("words").cast("long").alias("total"))
-    catalogue = per_source.orderBy(F.col("source").asc_nulls_last()).limit(MAX_SOURCES + 1).collect()
-    if len(catalogue) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
-    goals = targets([r["total"] for r in catalogue], weights, repeat)
-    numbered = spark.createDataFrame(
-        [(r["source"], k, r["total"], float(goal)) for k, (r, goal) in enumerate(zip(catalogue, goals))],
-        T.StructType([per_block.schema["source"], T.StructField("number", T.IntegerType()),
-                      T.StructField("source_size", T.LongType()),
-                      T.StructField("target", T.DoubleType())]))
+    numbered = stored(catalogue(per_block, weights, repeat), "catalogue")
     joined = (per_block.withColumnRenamed("source", "key")
               .join(numbered, F.col("key").eqNullSafe(F.col("source"))).drop("key"))
 
@@ -154,36 +174,44 @@ def plan(per_block, weights=WEIGHTS, repeat=REPEAT, shards=SHARDS, seed=SEED):
         return rows[["number", "block", "source_size", "target", "times", "rank"]]
 
     chosen = stored(joined.groupBy("number").applyInPandas(
-        passes, "number int, block int, source_size long, target double, times long, rank long"),
+        passes, "number long, block int, source_size long, target double, times long, rank long"),
         "blocks")
-    quota = {r["number"]: r["times"] for r in
-             chosen.groupBy("number").agg(F.sum("times").cast("long").alias("times")).collect()}
-    leaves = splitting_tree([quota[k] for k in range(len(catalogue))], shards, seed)
-    edges = spark.sparkContext.broadcast(np.cumsum(leaves, axis=0))
+    def split(key, rows):
+        """Where the copies of each source end, shard by shard."""
+        rows = rows.sort_values("number")
+        ends = np.cumsum(splitting_tree(rows["times"].to_numpy(), shards, seed, int(key[0])), axis=0)
+        return pd.DataFrame({"number": rows["number"].to_numpy(), "ends": list(ends.T)})
+
+    quota = chosen.groupBy("number").agg(F.sum("times").cast("long").alias("times"))
+    edges = quota.groupBy(F.floor(F.col("number") / RANGE).alias("part")).applyInPandas(
+        split, "number long, ends array<long>")
 
-    def deal(rows):
+    def deal(rows, ends):
         """Copies of a source's blocks in permuted order, in runs as long as the leaves' quotas."""
         rows = rows.sort_values("rank").reset_index(drop=True)
         copies = np.repeat(np.arange(len(rows)), rows["times"])
         number = int(rows["number"][0])
         turn = np.random.default_rng([seed, number, 1]).permutation(len(copies))
-        shard = np.searchsorted(edges.value[:, number], turn, side="right")
+        shard = np.searchsorted(np.asarray(ends["ends"][0]), turn, side="right")
         held = [[] for _ in range(len(rows))]
         for i, s in zip(copies.tolist(), shard.tolist()):
             held[i].append(s)
         rows["shards"] = held
         return rows[["number", "block", "source_size", "target", "shards"]]
 
-    dealt = chosen.groupBy("number").applyInPandas(
-        deal, "number int, block int, source_size long, target double, shards array<int>")
-    return dealt.join(numbered.select("source", "number"), "number").drop("number")
+    dealt = chosen.groupBy("number").cogroup(edges.groupBy("number")).applyInPandas(
+        deal, "number long, block int, source_size long, target double, shards array<int>")
+    # Stored, so that its size is known before texts are joined with it.
+    return stored(dealt.join(numbered.select("source", "number"), "number").drop("number"), "plan")
 
 
 def _planned(slim, weights, repeat, shards, seed):
     per_block = slim.groupBy("source", "block").agg(F.sum("size").cast("long").alias("words"))
-    return plan(per_block, weights, repeat, shards, seed).select(
-        F.col("source").alias("plan_source"), F.col("block").alias("plan_block"),
-        "source_size", "target", "shards")
+    plans = plan(per_block, weights, repeat, shards, seed)
+    small = plans.count() <= PLAN_ROWS
+    plans = plans.select(F.col("source").alias("plan_source"), F.col("block").alias("plan_block"),
+                         "source_size", "target", "shards")
+    return F.broadcast(plans) if small else plans
 
 
 def assign(documents, weights=WEIGHTS, repeat=REPEAT, shards=SHARDS, seed=SEED, blocks=BLOCKS):

@@ -114,6 +114,33 @@ def test_tree_keeps_every_quota():
     assert max(leaves.sum(axis=1)) - min(leaves.sum(axis=1)) <= 1
 
 
+def test_targets_by_aggregation(spark):
+    draw = random.Random(8)
+    for totals in ([100, 100, 100], [10, 1000, 10], [0, 5], [0], [draw.randint(0, 9) ** 5 for _ in range(60)]):
+        names = [f"s{i:03}" for i in range(len(totals) - 1)] + [None]
+        table = spark.createDataFrame([(n, b, t - t // 2 if b else t // 2) for n, t in zip(names, totals) for b in (0, 1)],
+                                      "source string, block int, words long")
+        got = {r["source"]: (r["number"], r["source_size"], r["target"]) for r in mixing.catalogue(table).collect()}
+        want = mixing.targets(totals).tolist()
+        assert [got[n][:2] for n in names] == list(enumerate(totals))
+        assert all(abs(got[n][2] - w) < 1e-6 for n, w in zip(names, want))
+
+
+def test_more_sources_than_one_draw_takes(documents, monkeypatch):
+    monkeypatch.setattr(mixing, "RANGE", 8)
+    docs = documents(*[(i, prose(i, 10 + i % 7), "en", f"s{i % 50:02}") for i in range(500)], (900, "x" * 50000, "en", "s01"))
+    by_broadcast = rows(mixing.digest(mixing.assign(docs)))
+    by = {}
+    for _, size, source_size, target, taken in by_broadcast:
+        assert taken <= 3 * size
+        by.setdefault((source_size, target), []).append(taken)
+    assert len(by_broadcast) == 501 and sum(map(sum, by.values())) > 0
+    monkeypatch.setattr(mixing, "PLAN_ROWS", 0)
+    assert rows(mixing.digest(mixing.assign(docs))) == by_broadcast
+    shards = mixing.mix(docs, shards=4).groupBy("shard").count().collect()
+    assert len(shards) == 4 and mixing.digest(mixing.assign(documents())).count() == 0
+
+
 def test_mix_meets_targets_and_repeats_itself(documents):
     docs = documents(*[(i, prose(i, 20 + i % 30), "en", ["a", "b", None][i % 3]) for i in range(600)],
                      (None, "x y", "en", "z"), (7, None, "en", "z"), (7, "", "en", "z"))
