@@ -50,6 +50,11 @@ def percentiles(value: Column, shares: list) -> Column:
     return F.percentile(value.cast("double"), F.array(*[F.lit(p) for p in shares]))
 
 
+def counted_percentiles(value: Column, n: Column, shares: list) -> Column:
+    """`percentiles` of values that come with the number of rows that have them."""
+    return F.percentile(value.cast("double"), F.array(*[F.lit(p) for p in shares]), n)
+
+
 def distinct_few(value: Column) -> Column:
     """COUNT(DISTINCT value) for a domain of a few dozen values, such as carriers: the set is the
     state, which spares the extra shuffle of a general distinct count."""

@@ -11,7 +11,7 @@
 import argparse
 
 from tarmac.functions.periods import month_list, monthly_paths
-from tarmac.operators import model
+from tarmac.operators import clean, model
 from tarmac.plans import load, training
 from tarmac.plans.warehouse import Warehouse
 from tarmac.sources.raw import (
@@ -36,11 +36,14 @@ def arguments(argv=None):
     one.add_argument("--no-fail-on-quality", action="store_true")
     one.add_argument("--run-type", default="manual", choices=["manual", "scheduled", "backfill"])
 
+    one.add_argument("--date-format", action="append", help="of flight dates, such as M/d/yyyy; may be repeated")
+
     stream = commands.add_parser("ingest", help="load files that arrived since the last call")
     stream.add_argument("--warehouse", required=True)
     stream.add_argument("--landing", required=True)
     stream.add_argument("--checkpoint", required=True)
     stream.add_argument("--no-fail-on-quality", action="store_true")
+    stream.add_argument("--date-format", action="append", help="as for load")
 
     names = commands.add_parser("reference", help="store names out of reference documents")
     names.add_argument("--warehouse", required=True)
@@ -85,13 +88,15 @@ def run(spark, args):
                 overwrite=args.overwrite,
                 fail_on_quality=not args.no_fail_on_quality,
                 run_type=args.run_type,
+                date_formats=tuple(args.date_format or clean.DATE_FORMATS),
             )
             for month in month_list(args.month, args.months, args.all_months)
             for path in [monthly_paths(args.landing, args.year, month)]
         ]
     if args.command == "ingest":
         return ingest_stream(Warehouse(spark, args.warehouse), args.landing, args.checkpoint,
-                             fail_on_quality=not args.no_fail_on_quality)
+                             fail_on_quality=not args.no_fail_on_quality,
+                             date_formats=tuple(args.date_format or clean.DATE_FORMATS))
     if args.command == "reference":
         return load.enrich_dimensions(
             Warehouse(spark, args.warehouse),

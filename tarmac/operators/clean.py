@@ -19,7 +19,11 @@ def rename_columns(df):
     return df.withColumnsRenamed(schema.RAW_TO_CANONICAL)
 
 
-def parse_date(text, formats=("yyyy-MM-dd",)):
+#: Formats of dates, tried in this order.
+DATE_FORMATS = ("yyyy-MM-dd",)
+
+
+def parse_date(text, formats=DATE_FORMATS):
     return F.coalesce(*[F.try_to_date(text, f) for f in formats])
 
 
@@ -28,7 +32,7 @@ def _number(col):
     return col.try_cast(schema.CLEAN_MEASURE)
 
 
-def cast_columns(df, date_formats=("yyyy-MM-dd",)):
+def cast_columns(df, date_formats=DATE_FORMATS):
     """Types for the columns present; what cannot be read becomes null, a flag becomes false."""
     kinds = dict(df.dtypes)
     typed = {}
@@ -107,27 +111,27 @@ def derive_columns(df):
     return df.withColumns(derived)
 
 
-def standardise(raw):
+def standardise(raw, date_formats=DATE_FORMATS):
     """Names and types only: every raw row is still there."""
-    return raw.transform(require_raw_columns).transform(rename_columns).transform(cast_columns)
+    return raw.transform(require_raw_columns).transform(rename_columns).transform(cast_columns, date_formats)
 
 
-def clean_flights(raw, order=("input_order",)):
+def clean_flights(raw, order=("input_order",), date_formats=DATE_FORMATS):
     """The whole cleaning chain. Duplicates go before invalid airports."""
     return (
-        raw.transform(standardise)
+        raw.transform(standardise, date_formats)
         .transform(remove_duplicates, order)
         .transform(keep_valid_airports)
         .transform(derive_columns)
     )
 
 
-def clean_statistics(raw, order=("input_order",)):
+def clean_statistics(raw, order=("input_order",), date_formats=DATE_FORMATS):
     """Row counts along the chain as one row.
 
     One pass: each flight key keeps its number of rows and what is counted of its last one.
     """
-    typed = raw.transform(standardise)
+    typed = raw.transform(standardise, date_formats)
     keys = [c for c in schema.FLIGHT_KEY if c in typed.columns]
     counted = [c for c in ("is_cancelled", "is_diverted", "arrival_delay_min") if c in typed.columns]
     last = F.max(F.struct(

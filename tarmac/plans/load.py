@@ -1,15 +1,17 @@
 """Loading a cleaned month, with run and quality audit, and refreshing the summary tables."""
 
 import logging
+import secrets
 import time
 from datetime import datetime, timezone
 from decimal import Decimal
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tarmac import schema
 from tarmac.operators import clean, dimensions, quality
-from tarmac.plans import summaries
+from tarmac.plans import states, summaries
 from tarmac.plans import warehouse as wh
 from tarmac.session import work_folder
 
@@ -23,7 +25,13 @@ def now():
 
 
 def new_run_id():
-    return time.time_ns() // 1000
+    """Ascending with time; runs that start in the same microsecond differ by their low bits."""
+    return (time.time_ns() // 1000 << 12) + secrets.randbelow(1 << 12)
+
+
+def run_key(run_id):
+    """What a run's audit rows are stored by."""
+    return f"run-{run_id}"
 
 
 def audit_run(spark, run_id, year, month, status, started_at, run_type="manual", source_file=None,
@@ -92,7 +100,7 @@ def load_month(warehouse, flights, source_file, year, month, overwrite=False, ru
            "source_file": source_file, "started_at": started}
     existing = wh.rows_of_month(warehouse.facts(), year, month).first()["existing_rows"]
     if existing and not overwrite:
-        warehouse.append(audit_run(spark, status="skipped", **run), "pipeline_runs")
+        warehouse.record(audit_run(spark, status="skipped", **run), "pipeline_runs", run_key(run["run_id"]))
         return {"skipped": True, "existing_rows": existing}
     counts = {"rows_extracted": rows_extracted or 0}
     try:
@@ -104,54 +112,56 @@ def load_month(warehouse, flights, source_file, year, month, overwrite=False, ru
         refuse_unusable(seen, f"{year}-{month:02d}")
         upsert_dimensions(warehouse, facts)
         keyed = wh.loadable_facts(facts, warehouse.carriers(), warehouse.airports())
-        wh.replace_month(keyed, warehouse.path("fact_flights"), year, month)
+        warehouse.publish(warehouse.written_months(keyed, year, month))
         stored = wh.rows_of_month(warehouse.facts(), year, month).first()["existing_rows"]
         counts["rows_loaded"] = stored
     except Exception as error:
         failed = audit_run(spark, status="failed", error=str(error), **run, **counts)
-        warehouse.append(failed, "pipeline_runs")
+        warehouse.record(failed, "pipeline_runs", run_key(run["run_id"]))
         raise
-    warehouse.append(audit_run(spark, status="success", **run, **counts), "pipeline_runs")
+    warehouse.record(audit_run(spark, status="success", **run, **counts), "pipeline_runs", run_key(run["run_id"]))
     return {"status": "success", "run_id": run["run_id"], "year": year, "month": month,
             "source_file": source_file, **counts}
 
 
 SUMMARIES = {
-    "mv_carrier_performance":
-        lambda w, facts: summaries.carrier_performance(facts, w.carriers()),
-    "mv_route_analysis":
-        lambda w, facts: summaries.route_analysis(facts, w.airports()),
-    "mv_monthly_summary":
-        lambda w, facts: summaries.monthly_summary(facts, w.read("dim_date")),
+    "mv_carrier_performance": lambda w, state: summaries.carriers_served(state["state_routes"], w.carriers()),
+    "mv_route_analysis": lambda w, state: summaries.routes_flown(
+        state["state_routes"], state["state_delays"], w.airports()),
+    "mv_monthly_summary": lambda w, state: summaries.months_flown(state["state_days"], w.read("dim_date")),
 }
+SKETCHED = {"mv_sketches": lambda w, state: summaries.sketched(state["state_sketches"])}
+
 
+def refresh_summaries(warehouse, years, sketches=False):
+    """Recompute the summary tables for the given years from the states of their months.
 
-def refresh_summaries(warehouse, years):
-    """Recompute the summary tables for the given years. A summary that cannot be built is
-    reported and does not keep the others from being refreshed."""
-    problems = {}
-    facts = warehouse.facts().filter(F.col("year").isin(list(years)))
-    for name, build in SUMMARIES.items():
+    Only months that changed since are read for it (see `states`). A summary that cannot be built is
+    reported and does not keep the others from being refreshed; those built appear together. `sketches` adds the table of
+    approximate figures.
+    """
+    problems, published = {}, []
+    state = states.current(warehouse, years, sketches)
+    for name, build in (SUMMARIES | SKETCHED if sketches else SUMMARIES).items():
         try:
-            _replace_years(warehouse, name, build(warehouse, facts), years)
+            published += _years_beside(warehouse, name, build(warehouse, state), years)
         except Exception as error:  # noqa: BLE001 - whatever the cause, the load stands
             log.warning("could not refresh %s: %s", name, error)
             problems[name] = str(error)
+    warehouse.publish(published)
     return problems
 
 
-def _replace_years(warehouse, table, summary, years):
-    """Make the years of a summary table consist of `summary`; a year without rows ends up empty."""
-    built = work_folder(warehouse.spark, table)
-    summary.write.parquet(built)
-    rows = warehouse.spark.read.parquet(built)
-    rows.hint("rebalance", "year").write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy("year").parquet(warehouse.path(table))
-    filled = {r["year"] for r in rows.select("year").distinct().collect()}
-    for year in set(years) - filled:
-        rows.limit(0).drop("year").write.mode("overwrite").parquet(
-            f"{warehouse.path(table)}/year={year}")
+def _years_beside(warehouse, table, summary, years):
+    """Write the years of a summary beside the live ones; gives the rows to publish. A year without rows is retired."""
+    folder = f"version={wh.new_version()}"
+    path = f"{warehouse.path(table)}/{folder}"
+    summary.hint("rebalance", "year").write.partitionBy("year").parquet(path)
+    try:
+        filled = {r["year"] for r in warehouse.spark.read.schema(summary.schema).parquet(path).select("year").distinct().collect()}
+    except AnalysisException:  # not a single row
+        filled = set()
+    return [(table, f"year={year}", f"{folder}/year={year}" if year in filled else None, None) for year in years]
 
 
 def ensure_calendar(warehouse, first=schema.CALENDAR_START, last=schema.CALENDAR_END):
@@ -163,7 +173,7 @@ def ensure_calendar(warehouse, first=schema.CALENDAR_START, last=schema.CALENDAR
     warehouse.append(missing.coalesce(1), "dim_date")
 
 
-def cleaned_once(spark, raw, stats, order=("input_order",)):
+def cleaned_once(spark, raw, stats, order=("input_order",), date_formats=clean.DATE_FORMATS):
     """Valid flights of raw rows; adds the counts along the way to `stats`.
 
     Files are parsed once. The typed rows and then the cleaned rows are stored in the shared work
@@ -171,7 +181,7 @@ def cleaned_once(spark, raw, stats, order=("input_order",)):
     and the input order of the rows cannot change between steps.
     """
     typed_path = work_folder(spark, "typed")
-    raw.transform(clean.standardise).write.parquet(typed_path)
+    raw.transform(clean.standardise, date_formats).write.parquet(typed_path)
     typed = spark.read.parquet(typed_path)
     profile = clean.null_profile(typed).first().asDict()
     stats["rows_raw"] = profile.pop("rows_raw")
@@ -197,8 +207,7 @@ def cleaned_once(spark, raw, stats, order=("input_order",)):
 def enrich_dimensions(warehouse, airports=None, airlines=None):
     """Store what reference documents know about the airports and carriers of the warehouse.
 
-    The new table is written beside the old one and copied over it, so a failure before the copy
-    leaves the table as it was, and one during the copy leaves the new rows in the work folder.
+    The new table is written beside the old one and published in one step.
     """
     for table, known, reference, key, columns in (
         ("dim_airports", warehouse.airports(), airports, "iata_code",
@@ -206,15 +215,12 @@ def enrich_dimensions(warehouse, airports=None, airlines=None):
         ("dim_carriers", warehouse.carriers(), airlines, "carrier_code", ["carrier_name", "is_active"]),
     ):
         if reference is not None:
-            beside = work_folder(warehouse.spark, table)
-            dimensions.enrich(known, reference, key, columns).write.parquet(beside)
-            warehouse.spark.read.schema(known.schema).parquet(beside).write.mode(
-                "overwrite").parquet(warehouse.path(table))
+            warehouse.replace_table(dimensions.enrich(known, reference, key, columns), table)
 
 
 def run_month(warehouse, raw, year, month, source_file=None, order=("input_order",),
               skip_quality=False, overwrite=False, fail_on_quality=True, run_type="manual",
-              as_of=None, refresh=True):
+              as_of=None, refresh=True, date_formats=clean.DATE_FORMATS):
     """Clean, check and load one month of raw rows."""
     spark = warehouse.spark
     started = now()
@@ -223,28 +229,28 @@ def run_month(warehouse, raw, year, month, source_file=None, order=("input_order
     # Nothing is parsed for a month that is there and is to stay.
     existing = wh.rows_of_month(warehouse.facts(), year, month).first()["existing_rows"]
     if existing and not overwrite:
-        warehouse.append(audit_run(spark, run_id, year, month, "skipped", started, run_type, source_file),
-                         "pipeline_runs")
+        warehouse.record(audit_run(spark, run_id, year, month, "skipped", started, run_type, source_file),
+                         "pipeline_runs", run_key(run_id))
         return stats | {"status": "skipped", "skipped": True, "existing_rows": existing}
     try:
-        flights = cleaned_once(spark, raw, stats, order)
+        flights = cleaned_once(spark, raw, stats, order, date_formats)
         stats["steps_completed"].append("transform")
 
         if not skip_quality:
             # A dozen rows: kept on the driver, so that the checks run once.
             found = quality.run_all_checks(flights, as_of)
             results = spark.createDataFrame(found.collect(), found.schema)
-            warehouse.append(quality_rows(results, run_id), "data_quality_results")
+            warehouse.record(quality_rows(results, run_id), "data_quality_results", run_key(run_id))
             stats["quality_results"] = [r.asDict() for r in results.collect()]
             stats["quality_passed"] = not quality.gate(results, fail=False)
             stats["steps_completed"].append("quality")
             quality.gate(results, fail=fail_on_quality)
     except Exception as error:
-        warehouse.append(audit_run(
+        warehouse.record(audit_run(
             spark, run_id, year, month, "failed", started, run_type, source_file,
             rows_extracted=stats.get("rows_raw", 0), rows_validated=stats.get("rows_valid", 0),
             error=str(error),
-        ), "pipeline_runs")
+        ), "pipeline_runs", run_key(run_id))
         raise
     loaded = load_month(warehouse, flights, source_file, year, month, overwrite, run_type,
                         rows_extracted=stats["rows_raw"], run_id=run_id)

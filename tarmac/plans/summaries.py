@@ -9,28 +9,28 @@ from pyspark.sql import functions as F
 from tarmac.functions import measures as m
 
 
-def _flown():
+def flown():
     return ~F.col("is_cancelled")
 
 
 def _delayed():
-    return F.col("is_delayed") & _flown()
+    return F.col("is_delayed") & flown()
 
 
 def daily_counts(flights, *keys):
     """Partial sums per day and `keys`: everything the calendar-joined tables need."""
-    flown = _flown()
+    in_air = flown()
     return flights.groupBy("date_id", *keys).agg(
         F.count("*").alias("flights"),
         m.count_where(F.col("is_cancelled")).alias("cancelled"),
-        m.count_where(flown).alias("flown"),
+        m.count_where(in_air).alias("flown"),
         m.count_where(F.col("is_delayed")).alias("late"),
         m.count_where(_delayed()).alias("late_flown"),
-        m.count_where(~F.col("is_delayed") & flown).alias("ontime"),
-        m.total_where(F.col("arrival_delay_min"), flown).alias("arr_sum"),
-        m.present_where(F.col("arrival_delay_min"), flown).alias("arr_n"),
-        m.total_where(F.col("departure_delay_min"), flown).alias("dep_sum"),
-        m.present_where(F.col("departure_delay_min"), flown).alias("dep_n"),
+        m.count_where(~F.col("is_delayed") & in_air).alias("ontime"),
+        m.total_where(F.col("arrival_delay_min"), in_air).alias("arr_sum"),
+        m.present_where(F.col("arrival_delay_min"), in_air).alias("arr_n"),
+        m.total_where(F.col("departure_delay_min"), in_air).alias("dep_sum"),
+        m.present_where(F.col("departure_delay_min"), in_air).alias("dep_n"),
         F.sum("distance_miles").alias("dist_sum"),
         F.count("distance_miles").alias("dist_n"),
         m.count_where(F.col("cancellation_code") == "B").alias("weather_cancelled"),
@@ -41,13 +41,17 @@ def daily_counts(flights, *keys):
 def monthly_summary(flights, dim_date):
     """Per carrier and month. Both rates have true names: the share of late flights, and the share
     of flights that were not."""
+    return months_flown(daily_counts(flights, "year", "month", "carrier_code"), dim_date)
+
+
+def months_flown(days_of_carriers, dim_date):
+    """`monthly_summary` from counts per day and carrier."""
     days = dim_date.select("date_id", "month_name", "season")
     total = {c: F.sum(c) for c in (
         "flights", "cancelled", "flown", "late_flown", "ontime", "arr_sum", "arr_n", "dep_sum",
         "dep_n", "dist_sum", "dist_n")}
     return (
-        daily_counts(flights, "year", "month", "carrier_code")
-        .join(days, "date_id")
+        days_of_carriers.join(days, "date_id")
         .groupBy("year", "month", "month_name", "season", "carrier_code")
         .agg(
             total["flights"].alias("total_flights"),
@@ -69,15 +73,20 @@ def carrier_performance(flights, dim_carriers):
     Reducing to one row per carrier, year, route and origin leaves the two distinct counts a few
     thousand rows to look at.
     """
-    flown = _flown()
+    in_air = flown()
     served = flights.groupBy("carrier_code", "year", "route", "origin_airport").agg(
         F.count("*").alias("flights"),
         m.count_where(F.col("is_cancelled")).alias("cancelled"),
-        m.count_where(flown).alias("flown"),
-        m.count_where(~F.col("is_delayed") & flown).alias("ontime"),
-        m.total_where(F.col("arrival_delay_min"), flown).alias("arr_sum"),
-        m.present_where(F.col("arrival_delay_min"), flown).alias("arr_n"),
+        m.count_where(in_air).alias("flown"),
+        m.count_where(~F.col("is_delayed") & in_air).alias("ontime"),
+        m.total_where(F.col("arrival_delay_min"), in_air).alias("arr_sum"),
+        m.present_where(F.col("arrival_delay_min"), in_air).alias("arr_n"),
     )
+    return carriers_served(served, dim_carriers)
+
+
+def carriers_served(served, dim_carriers):
+    """`carrier_performance` from counts per carrier, year, route and origin (in any number of parts)."""
     per_carrier = served.groupBy("carrier_code", "year").agg(
         F.sum("flights").alias("total_flights"),
         m.percent(F.sum("ontime"), F.sum("flown")).alias("ontime_pct"),
@@ -93,6 +102,9 @@ def carrier_performance(flights, dim_carriers):
     )
 
 
+ROUTE_YEAR = ["route", "origin_airport", "dest_airport", "year"]
+
+
 def with_route_places(routes, airports, *columns):
     """Attributes of both ends, as `origin_<column>` and `dest_<column>`."""
     names = {"city": "city", "state_code": "state"}
@@ -107,13 +119,12 @@ def with_route_places(routes, airports, *columns):
 
 def route_analysis(flights, dim_airports, min_flights=50):
     """Per route and year, for routes with enough flights."""
-    keys = ["route", "origin_airport", "dest_airport", "year"]
-    delay, flown = F.col("arrival_delay_min"), _flown()
+    delay, in_air = F.col("arrival_delay_min"), flown()
     per_route = (
-        flights.groupBy(*keys)
+        flights.groupBy(*ROUTE_YEAR)
         .agg(
             F.count("*").alias("total_flights"),
-            m.mean(m.total_where(delay, flown), m.present_where(delay, flown))
+            m.mean(m.total_where(delay, in_air), m.present_where(delay, in_air))
             .alias("avg_delay_min"),
             m.percentiles(delay, [0.5, 0.9]).alias("delays"),
             m.mean(F.sum("distance_miles"), F.count("distance_miles"), 0)
@@ -121,11 +132,41 @@ def route_analysis(flights, dim_airports, min_flights=50):
             m.distinct_few(F.col("carrier_code")).alias("carrier_count"),
         )
         .filter(F.col("total_flights") >= min_flights)
-        .withColumns({
-            "median_delay_min": m.rounded(F.col("delays")[0], 2),
-            "p90_delay_min": m.rounded(F.col("delays")[1], 2),
-        })
     )
+    return _route_columns(per_route, dim_airports)
+
+
+def routes_flown(routes, delays, dim_airports, min_flights=50):
+    """`route_analysis` from counts per route, year and carrier, and flights per route, year and distinct delay."""
+    per_route = routes.groupBy(*ROUTE_YEAR).agg(
+        F.sum("flights").alias("total_flights"),
+        m.mean(F.sum("arr_sum"), F.sum("arr_n")).alias("avg_delay_min"),
+        m.mean(F.sum("dist_sum"), F.sum("dist_n"), 0).alias("avg_distance_miles"),
+        m.distinct_few(F.col("carrier_code")).alias("carrier_count"),
+    ).filter(F.col("total_flights") >= min_flights)
+    spread = delays.groupBy(*[F.col(c).alias(f"of_{c}") for c in ROUTE_YEAR]).agg(m.counted_percentiles(
+        F.col("arrival_delay_min"), F.col("flights"), [0.5, 0.9]).alias("delays"))
+    same = [F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in ROUTE_YEAR]
+    return _route_columns(per_route.join(spread, same, "left"), dim_airports)
+
+
+def sketched(sketches):
+    """Per carrier and year, approximate percentiles of the delay and numbers of routes and origins, from sketches."""
+    delays = F.kll_merge_agg_double("delays")
+    return sketches.groupBy("carrier_code", "year").agg(
+        F.sum("flights").alias("total_flights"),
+        F.kll_sketch_get_quantile_double(delays, F.lit(0.5)).alias("median_delay_min"),
+        F.kll_sketch_get_quantile_double(delays, F.lit(0.9)).alias("p90_delay_min"),
+        F.hll_sketch_estimate(F.hll_union_agg("routes")).alias("routes_served"),
+        F.hll_sketch_estimate(F.hll_union_agg("origins")).alias("airports_served"),
+    )
+
+
+def _route_columns(per_route, dim_airports):
+    per_route = per_route.withColumns({
+        "median_delay_min": m.rounded(F.col("delays")[0], 2),
+        "p90_delay_min": m.rounded(F.col("delays")[1], 2),
+    })
     return with_route_places(per_route, dim_airports, "city", "state_code").select(
         "route", "origin_airport", "dest_airport", "origin_city", "origin_state", "dest_city",
         "dest_state", "year", "total_flights", "avg_delay_min", "median_delay_min",

@@ -1,5 +1,7 @@
 """Warehouse tables on Parquet: locations, reads, and the sinks that write them."""
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,8 +35,26 @@ STAGED_TEXT = {
 }
 
 
+#: One row per unit of a publication. A null folder retires the unit; `source` names what it was made from.
+PUBLISHED = "seq long, table string, unit string, folder string, source string"
+
+
+def new_version():
+    return f"v{uuid.uuid4().hex}"
+
+
+def month_unit(year, month):
+    return f"year={year}/month={month}"
+
+
 class Warehouse:
-    """Tables below one root folder. One writer at a time: plain Parquet has no transactions."""
+    """Tables below one root folder, for one writer at a time.
+
+    What replaces stored rows (a month, a dimension, a year of a summary) is written to a folder of its own
+    beside the live one and published last: a publication is one small file of `_published`, which appears whole or
+    not at all. Readers see the newest folder of every unit, so a write that fails midway leaves the old
+    rows in sight, and units published together change together. Tables that only ever grow are plain Parquet.
+    """
 
     def __init__(self, spark, root):
         self.spark = spark
@@ -43,8 +63,7 @@ class Warehouse:
     def path(self, table):
         return f"{self.root}/{table}"
 
-    def read(self, table, table_schema=None):
-        """The stored table, or an empty one with the given schema if nothing is stored yet."""
+    def _plain(self, table, table_schema=None):
         reader = self.spark.read
         if table_schema is not None:
             reader = reader.schema(table_schema)
@@ -55,8 +74,37 @@ class Warehouse:
                 raise
             return self.spark.createDataFrame([], table_schema)
 
-    def facts(self):
-        return self.read("fact_flights", FACT_TABLE)
+    def units(self, table):
+        """{unit: (folder, source)} by the newest publication of each unit: some per month of data at most."""
+        log = self._plain("_published", PUBLISHED).filter(F.col("table") == table)
+        newest = log.groupBy("unit").agg(F.max_by(F.struct("folder", "source"), "seq").alias("at"))
+        return {r["unit"]: r["at"] for r in newest.collect()}
+
+    def publish(self, rows):
+        """Make folders live, all at once. `rows`: (table, unit, folder or None, source or None)."""
+        if rows:
+            seq = (self._plain("_published", PUBLISHED).agg(F.max("seq")).first()[0] or 0) + 1
+            self.spark.createDataFrame([(seq, *row) for row in rows], PUBLISHED).coalesce(1).write.mode(
+                "append").parquet(self.path("_published"))
+
+    def read(self, table, table_schema=None, only=None):
+        """The stored table, or an empty one with the given schema if nothing is stored yet; `only` some units of it."""
+        units = self.units(table)
+        if not units and only is None:
+            return self._plain(table, table_schema).drop("txn")
+        folders = [f"{self.path(table)}/{at['folder']}" for unit, at in sorted(units.items())
+                   if at["folder"] is not None and (only is None or unit in only)]
+        if not folders:
+            if table_schema is None:
+                return self._plain(table).drop("version").filter("false")
+            return self.spark.createDataFrame([], table_schema)
+        reader = self.spark.read.option("basePath", self.path(table))
+        if table_schema is not None:
+            reader = reader.schema(table_schema)
+        return reader.parquet(*folders).drop("version")
+
+    def facts(self, only=None):
+        return self.read("fact_flights", FACT_TABLE, only)
 
     def carriers(self):
         return self.read("dim_carriers", schema.DIM_CARRIER)
@@ -68,7 +116,52 @@ class Warehouse:
         return self.read("pipeline_runs", schema.RUN)
 
     def append(self, df, table):
-        df.write.mode("append").parquet(self.path(table))
+        """Add rows; to a table with published folders as one more of them."""
+        if not self.units(table):
+            df.write.mode("append").parquet(self.path(table))
+        elif not df.isEmpty():
+            version = new_version()
+            df.write.parquet(f"{self.path(table)}/version={version}")
+            self.publish([(table, f"added-{version}", f"version={version}", None)])
+
+    def record(self, df, table, txn):
+        """Make the rows of one transaction in an audit table consist of `df`: writing again replaces them."""
+        df.withColumn("txn", F.lit(txn)).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").partitionBy("txn").parquet(self.path(table))
+
+    def replace_table(self, df, table):
+        """The whole table in one step."""
+        version = new_version()
+        df.write.parquet(f"{self.path(table)}/version={version}")
+        old = [(table, unit, None, None) for unit in self.units(table) if unit != "all"]
+        self.publish([*old, (table, "all", f"version={version}", None)])
+
+    def written_months(self, facts, year, month):
+        """Write one month beside the live one; gives the row to publish."""
+        folder = f"version={new_version()}"
+        replace_month(facts, f"{self.path('fact_flights')}/{folder}", year, month)
+        unit = month_unit(year, month)
+        return [("fact_flights", unit, f"{folder}/{unit}", None)]
+
+    def replace_months(self, facts):
+        """Replace every month that occurs in `facts`, all in one step; other months stay."""
+        folder = f"version={new_version()}"
+        path = f"{self.path('fact_flights')}/{folder}"
+        write_months(facts, path)
+        months = self.spark.read.parquet(path).select("year", "month").distinct().collect()
+        units = [month_unit(r["year"], r["month"]) for r in months]
+        self.publish([("fact_flights", unit, f"{folder}/{unit}", None) for unit in units])
+
+    def drop_superseded(self, table):
+        """Delete the folders of a table that no unit names any more; run it when nobody reads older ones."""
+        live = {at["folder"] for at in self.units(table).values() if at["folder"] is not None}
+        files = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(
+            self.path(table)).select(F.regexp_extract("path", r"/(version=[^/]+(?:/[a-z]+=[^/]+)*)/[^/]*$", 1).alias("folder"))
+        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs
+        for row in files.filter(F.length("folder") > 0).distinct().collect():
+            if row["folder"] not in live:
+                old = hadoop.Path(f"{self.path(table)}/{row['folder']}")
+                old.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
 
 
 def staged_rows(raw, source_file=None):

@@ -149,7 +149,7 @@ def run_month(spark, folder):
 def mv_refresh(spark, folder):
     """Store all flights, refresh every year's summaries, and read one of them."""
     store = _warehouse(spark)
-    wh.write_months(sample.flights(spark, folder).drop(*ID), store.path("fact_flights"))
+    store.replace_months(sample.flights(spark, folder).drop(*ID))
     load.ensure_calendar(store, *sample.CALENDAR)
     years = [r["year"] for r in store.facts().select("year").distinct().collect()]
     problems = load.refresh_summaries(store, years)
