@@ -125,15 +125,17 @@ def load_month(warehouse, flights, source_file, year, month, overwrite=False, ru
 
 
 SUMMARIES = {
-    "mv_carrier_performance": lambda w, state: summaries.carriers_served(state["state_routes"], w.carriers()),
-    "mv_route_analysis": lambda w, state: summaries.routes_flown(
-        state["state_routes"], state["state_delays"], w.airports()),
-    "mv_monthly_summary": lambda w, state: summaries.months_flown(state["state_days"], w.read("dim_date")),
+    "mv_carrier_performance":
+        lambda w, state, least: summaries.carriers_served(state["state_routes"], w.carriers()),
+    "mv_route_analysis": lambda w, state, least: summaries.routes_flown(
+        state["state_routes"], state["state_delays"], w.airports(), least),
+    "mv_monthly_summary":
+        lambda w, state, least: summaries.months_flown(state["state_days"], w.read("dim_date")),
 }
-SKETCHED = {"mv_sketches": lambda w, state: summaries.sketched(state["state_sketches"])}
+SKETCHED = {"mv_sketches": lambda w, state, least: summaries.sketched(state["state_sketches"])}
 
 
-def refresh_summaries(warehouse, years, sketches=False):
+def refresh_summaries(warehouse, years, sketches=False, min_route_flights=50):
     """Recompute the summary tables for the given years from the states of their months.
 
     Only months that changed since are read for it (see `states`). A summary that cannot be built is
@@ -144,7 +146,7 @@ def refresh_summaries(warehouse, years, sketches=False):
     state = states.current(warehouse, years, sketches)
     for name, build in (SUMMARIES | SKETCHED if sketches else SUMMARIES).items():
         try:
-            published += _years_beside(warehouse, name, build(warehouse, state), years)
+            published += _years_beside(warehouse, name, build(warehouse, state, min_route_flights), years)
         except Exception as error:  # noqa: BLE001 - whatever the cause, the load stands
             log.warning("could not refresh %s: %s", name, error)
             problems[name] = str(error)

@@ -152,15 +152,19 @@ def routes_flown(routes, delays, dim_airports, min_flights=50):
 
 def sketched(sketches):
     """Per carrier and year, approximate percentiles of the delay and numbers of routes and origins, from sketches."""
-    delays = F.kll_merge_agg_double("delays")
-    return sketches.groupBy("carrier_code", "year").agg(
+    merged = sketches.groupBy("carrier_code", "year").agg(
         F.sum("flights").alias("total_flights"),
-        F.kll_sketch_get_quantile_double(delays, F.lit(0.5)).alias("median_delay_min"),
-        F.kll_sketch_get_quantile_double(delays, F.lit(0.9)).alias("p90_delay_min"),
+        F.kll_merge_agg_double("delays").alias("delays"),
         F.hll_sketch_estimate(F.hll_union_agg("routes")).alias("routes_served"),
         F.hll_sketch_estimate(F.hll_union_agg("origins")).alias("airports_served"),
     )
 
+    def quantile(share):  # null without a delay
+        return F.when(F.kll_sketch_get_n_double("delays") > 0, F.kll_sketch_get_quantile_double("delays", F.lit(share)))
+
+    return merged.select("carrier_code", "year", "total_flights", quantile(0.5).alias("median_delay_min"),
+                         quantile(0.9).alias("p90_delay_min"), "routes_served", "airports_served")
+
 
 def _route_columns(per_route, dim_airports):
     per_route = per_route.withColumns({

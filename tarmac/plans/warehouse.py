@@ -147,7 +147,8 @@ class Warehouse:
         """Replace every month that occurs in `facts`, all in one step; other months stay."""
         folder = f"version={new_version()}"
         path = f"{self.path('fact_flights')}/{folder}"
-        write_months(facts, path)
+        typed = in_table_order(facts)
+        write_months(typed.select([F.col(f.name).cast(f.dataType) for f in FACT_TABLE.fields]), path)
         months = self.spark.read.parquet(path).select("year", "month").distinct().collect()
         units = [month_unit(r["year"], r["month"]) for r in months]
         self.publish([("fact_flights", unit, f"{folder}/{unit}", None) for unit in units])

@@ -93,6 +93,54 @@ def test_manifest(spark, tmp_path):
     assert (row.file_bytes, row.md5) == (len(content), hashlib.md5(content).hexdigest())
 
 
+def test_manifest_of_a_file_beyond_two_gigabytes(spark, tmp_path):
+    size = 2_600_000_000  # a sparse file: no bytes on disk
+    with open(tmp_path / "large one.csv", "wb") as file:
+        file.truncate(size)
+    (tmp_path / "empty.csv").write_bytes(b"")
+    want, block = hashlib.md5(), bytes(1 << 24)
+    for start in range(0, size, len(block)):
+        want.update(block[:min(len(block), size - start)])
+    got = {r.source_file.rsplit("/")[-1]: (r.file_bytes, r.md5) for r in src.file_manifest(spark, str(tmp_path)).collect()}
+    assert got == {"large one.csv": (size, want.hexdigest())}
+
+
+def test_manifest_of_a_path_that_tasks_cannot_open(spark, tmp_path, monkeypatch):
+    write_csv(tmp_path / "a.csv", [raw_row()])
+    by_path = src.file_manifest(spark, str(tmp_path)).collect()
+    monkeypatch.setattr(src.files, "openable", lambda path: False)
+    assert src.file_manifest(spark, str(tmp_path)).collect() == by_path
+    assert list(src.layouts(spark, str(tmp_path)).values()) == [[by_path[0].source_file]]
+
+
+def jobs_of(spark, name, work):
+    spark.sparkContext.setJobGroup(name, name)
+    try:
+        out = work()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return out, len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+
+
+def test_layouts_take_as_many_jobs_for_many_files(spark, tmp_path):
+    import gzip
+    for n in (4, 40):
+        folder = tmp_path / str(n)
+        folder.mkdir()
+        for i in range(n):
+            header = [RAW_HEADER, RAW_HEADER[:-1][::-1]][i % 2]
+            write_csv(folder / f"{i} é.csv", [raw_row()], header=header)
+    zipped = (tmp_path / "4" / "0 é.csv").read_bytes()
+    (tmp_path / "40" / "z.csv.gz").write_bytes(gzip.compress(zipped))
+    (tmp_path / "40" / "blank.csv").write_text("\n \n" + zipped.decode())
+    few, jobs_for_few = jobs_of(spark, "few", lambda: src.layouts(spark, str(tmp_path / "4")))
+    many, jobs_for_many = jobs_of(spark, "many", lambda: src.layouts(spark, str(tmp_path / "40")))
+    assert sorted(map(len, few.values())) == [2, 2] and sorted(map(len, many.values())) == [20, 22]
+    # The file with blank lines has its header in another line, not another layout.
+    assert jobs_for_many <= jobs_for_few + 2
+    assert src.read_flight_files(spark, str(tmp_path / "40")).count() == 42
+
+
 def test_periods():
     assert periods.month_list(all_months=True) == list(range(1, 13))
     assert periods.month_list(months="3-5") == [3, 4, 5]

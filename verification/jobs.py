@@ -12,7 +12,7 @@ from tarmac.sources import sample_flights as sample
 from tarmac.sources.raw import read_flight_files
 from tarmac.streaming import ingest
 from verification.registry import query
-from verification.reports import MONTHLY_SQL
+from verification.reports import CARRIER_SQL, MIN_ROUTE_FLIGHTS, MONTHLY_SQL, ROUTE_SQL
 from verification.sql_text import rnd
 from verification.tables import CARRIER_IDS, ID
 
@@ -158,6 +158,126 @@ def mv_refresh(spark, folder):
     return store.read("mv_monthly_summary")
 
 
+CORRECTED = f"""SELECT * REPLACE (arrival_delay_min + CASE WHEN {IN_PERIOD} THEN 7 ELSE 0 END AS arrival_delay_min) FROM f"""
+
+
+def _refreshed_after_a_correction(spark, folder, **options):
+    """All months stored and summarised, then one month replaced and the summaries refreshed again: only the
+    state of that month is made anew."""
+    store = _warehouse(spark)
+    for table, fields, rows in (("dim_carriers", schema.DIM_CARRIER, sample.numbered_carriers(spark, folder)),
+                                ("dim_airports", schema.DIM_AIRPORT, sample.numbered_airports(spark, folder))):
+        store.append(rows.select([(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                                  for f in fields]), table)
+    flights = sample.flights(spark, folder).drop(*ID)
+    load.ensure_calendar(store, *sample.CALENDAR)
+    store.replace_months(flights)
+    options = {"min_route_flights": MIN_ROUTE_FLIGHTS} | options
+    years = [r["year"] for r in store.facts().select("year").distinct().collect()]
+    load.refresh_summaries(store, years, **options)
+    year, month = PERIOD
+    store.replace_months(flights.filter((F.col("year") == year) & (F.col("month") == month)).withColumn(
+        "arrival_delay_min", (F.col("arrival_delay_min") + 7).cast("decimal(7,2)")))
+    problems = load.refresh_summaries(store, [year], **options)
+    if problems:
+        raise RuntimeError(str(problems))
+    return store
+
+
+@query("mv_refresh_carriers", CARRIER_SQL.replace("FROM f", f"FROM ({CORRECTED}) f"))
+def mv_refresh_carriers(spark, folder):
+    return _refreshed_after_a_correction(spark, folder).read("mv_carrier_performance")
+
+
+@query("mv_refresh_routes", ROUTE_SQL.replace("FROM f", f"FROM ({CORRECTED}) f"))
+def mv_refresh_routes(spark, folder):
+    return _refreshed_after_a_correction(spark, folder).read("mv_route_analysis")
+
+
+@query("sketch_percentiles", f"""
+SELECT carrier_code, "year", COUNT(*) AS total_flights, TRUE AS median_within, TRUE AS p90_within
+FROM ({CORRECTED}) GROUP BY carrier_code, "year" """)
+def sketch_percentiles(spark, folder):
+    """Approximate percentiles from merged sketches, held against the exact ranks of what they name: within 2.5 %."""
+    store = _refreshed_after_a_correction(spark, folder, sketches=True)
+    named = store.read("mv_sketches").select(
+        F.col("carrier_code").alias("of"), F.col("year").alias("of_year"), "median_delay_min", "p90_delay_min")
+    seen = store.facts().groupBy("carrier_code", "year", F.col("arrival_delay_min").cast("double").alias("delay")).agg(
+        F.count("*").alias("n"))
+    known = F.when(F.col("delay").isNotNull(), F.col("n"))
+
+    def within(estimate, share):
+        below, upto = (F.sum(F.when(test, known)) for test in (F.col("delay") < estimate, F.col("delay") <= estimate))
+        return ((F.coalesce(below, F.lit(0)) / F.sum(known) - 0.025 <= share)
+                & (F.coalesce(upto, F.lit(0)) / F.sum(known) + 0.025 >= share))
+
+    return seen.join(named, (F.col("carrier_code") == F.col("of")) & (F.col("year") == F.col("of_year"))).groupBy(
+        "carrier_code", "year").agg(
+        F.sum("n").alias("total_flights"),
+        within(F.col("median_delay_min"), 0.5).alias("median_within"),
+        within(F.col("p90_delay_min"), 0.9).alias("p90_within")).withColumn("year", F.col("year").cast("int"))
+
+
+@query("sketch_distinct", """
+SELECT carrier_code, "year", COUNT(DISTINCT route) AS routes, COUNT(DISTINCT origin_airport) AS origins,
+       TRUE AS routes_within, TRUE AS origins_within FROM f GROUP BY carrier_code, "year" """)
+def sketch_distinct(spark, folder):
+    """Approximate distinct counts from merged sketches, beside the exact ones: within 8 %, five times their standard error."""
+    store = _refreshed_after_a_correction(spark, folder, sketches=True)
+    named = store.read("mv_sketches").select(F.col("carrier_code").alias("of"), F.col("year").alias("of_year"),
+                                             "routes_served", "airports_served")
+    exact = store.facts().groupBy("carrier_code", "year").agg(
+        F.count_distinct("route").alias("routes"), F.count_distinct("origin_airport").alias("origins"))
+
+    def within(estimate, count):
+        return F.abs(F.col(estimate) - F.col(count)) <= F.greatest(F.lit(1.0), 0.08 * F.col(count))
+
+    return exact.join(named, (F.col("carrier_code") == F.col("of")) & (F.col("year") == F.col("of_year"))).select(
+        "carrier_code", F.col("year").cast("int").alias("year"), "routes", "origins",
+        within("routes_served", "routes").alias("routes_within"),
+        within("airports_served", "origins").alias("origins_within"))
+
+
+@query("load_failed_replace", f"""
+, n AS (SELECT COUNT(*) AS n, SUM(arrival_delay_min) AS s FROM f WHERE {LOADABLE})
+SELECT n AS flights, s AS arrival_sum, 1 AS succeeded, 1 AS failed FROM n""")
+def load_failed_replace(spark, folder):
+    """A month whose replacement fails in the middle of its write: the old rows stay in sight."""
+    store = _warehouse(spark)
+    flights = _month(spark, folder)
+    load.load_month(store, flights, "march", *PERIOD)
+    breaking = flights.withColumn("arrival_delay_min", F.when(
+        F.col("flight_number") == "7", F.lit("12345678.0")).otherwise(F.col("arrival_delay_min").cast("string"))
+        .cast("decimal(18,2)"))
+    try:
+        load.load_month(store, breaking, "march", *PERIOD, overwrite=True)
+    except Exception as error:  # noqa: BLE001 - the failure is the point
+        assert "NUMERIC_VALUE_OUT_OF_RANGE" in str(error)
+    runs = store.runs().agg(F.count_if(F.col("status") == "success").cast("int").alias("succeeded"),
+                            F.count_if(F.col("status") == "failed").cast("int").alias("failed"))
+    facts = store.facts().agg(F.count("*").alias("flights"), F.sum("arrival_delay_min").alias("arrival_sum"))
+    return facts.join(runs, F.col("flights") >= 0, "left").select("flights", "arrival_sum", "succeeded", "failed")
+
+
+@query("stream_replay", f"""
+SELECT COUNT(*) AS flights, SUM(arrival_delay_min) AS arrival_sum, CAST(2 AS BIGINT) AS runs, CAST(24 AS BIGINT) AS checks
+FROM ({LATEST}) WHERE rn = 1 AND {LOADABLE}""")
+def stream_replay(spark, folder):
+    """Two deliveries, each merged twice as after a failure between the merge and the checkpoint: every one leaves one run
+    row and twelve check rows, and the facts are those of one merge."""
+    store = _warehouse(spark)
+    for batch, part in enumerate(_deliveries(spark, folder)):
+        landing = work_folder(spark, "landing")
+        part.write.csv(landing, header=True)
+        for _ in range(2):
+            ingest.merge_batch(store, [landing], refresh=False, txn=ingest.transaction("progress", batch))
+    totals = [store.facts().agg(F.count("*").alias("flights"), F.sum("arrival_delay_min").alias("arrival_sum")),
+              store.runs().agg(F.count("*").alias("runs")),
+              store.read("data_quality_results").agg(F.count("*").alias("checks"))]
+    whole = totals[0].unionByName(totals[1], allowMissingColumns=True).unionByName(totals[2], allowMissingColumns=True)
+    return whole.agg(*[F.max(c).alias(c) for c in whole.columns])
+
+
 @query("stream_ingest", f"""
 SELECT "year", "month", COUNT(*) AS flights, SUM(arrival_delay_min) AS arrival_sum
 FROM ({LATEST}) WHERE rn = 1 AND {LOADABLE} GROUP BY "year", "month" """)
@@ -323,6 +443,15 @@ def ml_metrics(spark, folder):
     return model.metrics(given_predictions(spark, folder))
 
 
+@query("ml_auc", f"""
+, s AS (SELECT p, COUNT(*) FILTER (WHERE is_delayed = 1) AS pos, COUNT(*) FILTER (WHERE is_delayed = 0) AS neg FROM ({GIVEN}) GROUP BY p),
+c AS (SELECT *, COALESCE(SUM(neg) OVER (ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM s)
+SELECT SUM(pos)::BIGINT AS positives, SUM(neg)::BIGINT AS negatives,
+       ROUND(SUM(pos * (2 * below + neg))::DOUBLE / (2 * SUM(pos) * SUM(neg))::DOUBLE, 6) AS roc_auc FROM c""")
+def ml_auc(spark, folder):
+    return model.roc_auc(given_predictions(spark, folder), "p").withColumn("roc_auc", F.round("roc_auc", 6))
+
+
 @query("ml_risk_band", f"""
 SELECT CASE WHEN p >= 0.65 THEN 'High delay risk' WHEN p >= 0.4 THEN 'Medium delay risk' ELSE 'Low delay risk' END AS risk,
        CASE WHEN p > 0.5 THEN 'Delayed' ELSE 'Not delayed' END AS verdict, COUNT(*) AS flights
