@@ -58,7 +58,7 @@ def op5(spark, folder):
 
 @query("op7_quotations", quotations.ORACLE_SQL)
 def op7(spark, folder):
-    return quotations.conversations(quotations.quoting(table(spark, folder, "conversations")))
+    return quotations.digest(quotations.conversations(quotations.quoting(table(spark, folder, "conversations"))))
 
 
 @query("op6_quality", quality.ORACLE_SQL)

@@ -13,7 +13,7 @@ from tarmac.llm import (
     decontaminate, hosts, jaccard, mixing, quality, quotations, repeats, secret_scan, token_counts, tokens,
     toxicity, trigrams,
 )
-from tarmac.llm.common import utf8
+from tarmac.llm.common import ship_code, utf8
 from verification.compare import difference
 
 ODD = [(1, None), (2, ""), (3, " \n\t"), (4, "ä" * 30), (None, "eins zwei"), (4, "ä" * 30), (5, "a b c d e f g h i j k")]
@@ -297,16 +297,60 @@ def test_languages_are_not_held_against_others(documents):
 
 # --- quotations -------------------------------------------------------------------------------
 
-def test_conversations_lose_their_quotes_and_gain_parents(spark):
+MESSAGES = "thread long, turn long, role string, text string, place string, row long"
+MAIL = [
+    (1, 0, "u", "Hello there\nfriend\n\nSecond  paragraph\nof two lines"), (1, 1, "a", "Hi"), (1, 2, "u", "a > b\nyes"),
+    (1, 3, "a", "> second paragraph of\n> two lines\nonly one paragraph"), (1, 4, "u", "> Hi\n> a > b\ntwo messages"),
+    (1, 5, "a", "> > Hello there\n> > friend\n> Hi\n> yes\nnested"), (1, 6, "a", "> not a quote of anyone\nkept"),
+    (1, 7, "u", "> > friend\nonly deep"), (1, 8, "u", "> nested\n>\n> not a quote of anyone\n>\n> only deep\nmixed"),
+    (1, 9, "u", "> hi\n"), (1, 9, "u", "> hi\n"), (1, 9, "u", "twin"), (1, 10, "a", "> twin\n> mixed"), (1, None, "a", "> Hi"),
+    (2, 0, "u", None), (2, 1, "a", "x"), (2, 1, "a", "> x"), (2, 2, "u", ""), (2, 3, "u", "> \n>"), (None, 0, "u", "x"),
+    (None, 1, "u", "> x\nnone"), (3, 5, "u", "ok"), (3, 3, "u", "ok"), (3, 4, "u", "> ok"), (3, 9, "u", "> ok"), (3, 1, "u", "> ok")]
+
+
+def conversations_of(spark, messages):
+    ship_code(spark)
+    table = spark.createDataFrame([(*m, "p", 5) for m in messages], MESSAGES)
+    return rows(quotations.digest(quotations.conversations(table)))
+
+
+def as_digest(found):
+    return sorted([(*f[:9], ",".join(f"{a}:{b}" for a, b in f[9])) for f in found], key=repr)
+
+
+def test_conversations_equal_brute_force(spark):
+    want = quotations.brute_force(MAIL)
+    assert conversations_of(spark, MAIL) == as_digest(want)
+    by = {(w[0], w[1]): w for w in want}
+    assert by[1, 3][3:5] == ("only one paragraph", 0) and by[1, 4][3:5] == ("two messages", 2)
+    assert by[1, 4][9] == [(1, 1), (1, 2)] and by[1, 5][9] == [(1, 1), (1, 2), (2, 0)]
+    assert by[1, 6][3] == "> not a quote of anyone\nkept" and by[1, 6][4] is None
+    assert by[1, 7][3:5] == ("only deep", 0) and by[1, 8][3] == "> not a quote of anyone\nmixed"
+    assert by[3, 9][4] == 5 and by[3, 4][4] == 3 and by[3, 1][4] is None and by[1, 10][4] == 9
+
+
+def test_long_threads_and_texts(spark):
+    draw = random.Random(6)
+    mail = []
+    for turn in range(120):
+        quoted = mail[draw.randrange(turn)][3] if turn else ""
+        quoted = "\n".join("> " + line for line in quoted.split("\n")) + "\n" if quoted else ""
+        mail.append((7, turn, "u", quoted + draw.choice(["ok", prose(turn, 30), prose(turn, 4) + "\n" + prose(turn + 1, 5)])))
+    mail.append((7, 200, "u", "\n".join("> ok" for _ in range(3000)) + "\n" + "word " * 50000))
+    assert conversations_of(spark, mail) == as_digest(quotations.brute_force(mail))
+
+
+def test_quotes_are_parsed_as_the_sql_does(spark):
     table = spark.createDataFrame(
-        [(1, 0, "u", "Hello there\nfriend"), (1, 1, "a", "Hi"), (1, 2, "u", "a > b"), (2, 0, "u", None), (2, 1, "a", "x")],
+        [(1, i, "u", t) for i, t in enumerate(["Hello there\nfriend", "Hi", "a > b", "Hi", "", "x\n\ny", "ok", None, "ok"])]
+        + [(2, 0, "u", None), (2, 1, "a", "x"), (2, 2, "a", "> x\nfound"), (2, 3, "a", "> nowhere\nz")],
         "conv_id long, turn long, role string, text string")
-    got = rows(quotations.conversations(quotations.quoting(table)).select("thread", "turn", "text", "parent"))
-    assert got == [(1, 0, "Hello there\nfriend", None), (1, 1, "Hi", 0), (1, 2, "a > b", 1), (2, 0, "", None), (2, 1, "x", None)]
-    loose = spark.createDataFrame([(1, 0, "u", "A  b"), (1, 1, "a", ">a B\n> > deep\nyes"), (1, 2, "u", "> gone\nno")],
-                                  "thread long, turn long, role string, text string")
-    assert [(r["text"], r["parent"], r["levels"]) for r in quotations.conversations(loose).orderBy("turn").collect()] == [
-        ("A  b", None, 0), ("yes", 0, 2), ("no", None, 1)]
+    ship_code(spark)
+    compare(quotations.digest(quotations.conversations(quotations.quoting(table))), quotations.ORACLE_SQL, conversations=table)
+
+
+def test_no_messages(spark):
+    assert conversations_of(spark, []) == []
 
 
 # --- decontamination --------------------------------------------------------------------------
