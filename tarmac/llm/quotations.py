@@ -155,16 +155,20 @@ def _rewritten(batches):
 
 
 def rooted(parents):
-    """(row, root, depth) from (row, up): the parent's row, null for roots. A parent is always an earlier message."""
+    """(row, root, depth) from (row, up): the parent's row, null for roots. A parent is always an earlier message.
+
+    Each round doubles how far a row sees; rows that have seen their root are joined no more.
+    """
     state = stored(parents.select("row", F.coalesce("up", "row").alias("root"),
-                                  F.when(F.col("up").isNull(), 0).otherwise(1).cast("long").alias("depth")), "parents")
-    while True:
-        above = state.select(F.col("row").alias("r"), F.col("root").alias("higher"), F.col("depth").alias("more"))
-        state = stored(state.join(above, F.col("root") == F.col("r")).select(
-            "row", F.col("higher").alias("root"), (F.col("depth") + F.col("more")).alias("depth"),
-            (F.col("more") > 0).alias("moved")), "parents")
-        if state.where("moved").isEmpty():
-            return state.select("row", "root", "depth")
+                                  F.when(F.col("up").isNull(), 0).otherwise(1).cast("long").alias("depth"),
+                                  F.col("up").isNull().alias("done")), "parents")
+    while not state.where("not done").isEmpty():
+        above = state.select(F.col("row").alias("r"), F.col("root").alias("higher"), F.col("depth").alias("more"),
+                             F.col("done").alias("seen"))
+        further = state.where("not done").join(above, F.col("root") == F.col("r")).select(
+            "row", F.col("higher").alias("root"), (F.col("depth") + F.col("more")).alias("depth"), F.col("seen").alias("done"))
+        state = stored(state.where("done").unionByName(further), "parents")
+    return state.select("row", "root", "depth")
 
 
 def conversations(messages):
