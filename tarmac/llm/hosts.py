@@ -6,6 +6,10 @@ suffix, the host towards its domain. How strongly is estimated from the counts (
 A host is blocked if the lower bound of its posterior rate is above a limit. Pages are reduced to
 counts per host before anything is joined; a hot host is one row per task.
 
+The suffix is the last label, or the last two where `SUFFIXES` lists them (registries that sell names below a second
+label, and providers whose customers each have a name of their own); the domain has one label more. The table is short: other such
+suffixes count as domains unless they are given.
+
 A null url, or one without `://`, has empty host and path; the empty host is a host like any other.
 Without outcomes every host has the prior's rate 0.5 and is allowed. Equal rows get equal verdicts, an
 empty table gives no rows. Extra columns are kept; columns named like an added one are replaced.
@@ -24,6 +28,14 @@ BELOW = 1.645
 #: Bounds and default of a prior's strength, in pages.
 STRENGTH = (1.0, 1000.0, 10.0)
 
+# Public suffixes of two labels.
+SUFFIXES = (
+    "ac.uk", "co.uk", "gov.uk", "ltd.uk", "me.uk", "net.uk", "org.uk", "plc.uk", "sch.uk", "com.au", "edu.au", "gov.au", "net.au", "org.au",
+    "ac.jp", "co.jp", "go.jp", "ne.jp", "or.jp", "ac.nz", "co.nz", "net.nz", "org.nz", "co.za", "org.za", "com.br", "net.br",
+    "org.br", "com.cn", "net.cn", "org.cn", "com.hk", "com.mx", "com.sg", "com.tr", "com.tw", "com.ar", "com.co", "com.my", "com.ph",
+    "com.ua", "ac.in", "co.in", "net.in", "org.in", "co.id", "co.il", "co.kr", "or.kr", "co.th", "blogspot.com", "github.io", "gitlab.io",
+    "herokuapp.com", "appspot.com", "netlify.app", "pages.dev", "vercel.app", "web.app", "workers.dev")
+
 _SPLIT = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 _LEVELS = ("suffix", "domain", "host")
 
@@ -58,12 +70,15 @@ def judged_by_rules(pages, rules=RULES, url="url"):
                     pages.columns, added=["host", "path", "rule", "verdict"])
 
 
-def _levels(df):
+def levels(df, suffixes=SUFFIXES):
+    """`df` with the `suffix` and `domain` of its `host`. A number is its own domain and has no suffix."""
     name = F.regexp_replace("host", ":[0-9]*$", "")
     number = name.rlike(r"^[0-9.]+$")
+    two = F.substring_index(name, ".", -2)
+    long = two.isin(*suffixes) if suffixes else F.lit(False)
     return df.withColumns({
-        "suffix": F.when(number, "").otherwise(F.substring_index(name, ".", -1)),
-        "domain": F.when(number, name).otherwise(F.substring_index(name, ".", -2))})
+        "suffix": F.when(number, "").when(long, two).otherwise(F.substring_index(name, ".", -1)),
+        "domain": F.when(number, name).when(long, F.substring_index(name, ".", -3)).otherwise(two)})
 
 
 def _strength(counts):
@@ -94,11 +109,11 @@ def reputations(outcomes, hosts):
 
     outcomes: (host, bad) of labelled pages; hosts: distinct hosts to be judged.
     """
-    seen = _levels(outcomes.groupBy("host").agg(F.count("*").cast("double").alias("n"),
+    seen = levels(outcomes.groupBy("host").agg(F.count("*").cast("double").alias("n"),
                                                 F.sum("bad").cast("double").alias("bad")))
     every = seen.agg(((F.coalesce(F.sum("bad"), F.lit(0.0)) + 1)
                       / (F.coalesce(F.sum("n"), F.lit(0.0)) + 2)).alias("above")).first()["above"]
-    df = _levels(hosts).withColumn("rate", F.lit(every))
+    df = levels(hosts).withColumn("rate", F.lit(every))
     for level in _LEVELS:
         counts = seen.groupBy(F.col(level).alias("group")).agg(
             F.sum("n").alias("n"), F.sum("bad").alias("bad"))
@@ -125,9 +140,10 @@ def judge(pages, rules=RULES, outcomes=None, limit=LIMIT, url="url"):
         F.col("host").alias("known"),
         F.when(F.col("bound") > limit, "block").otherwise("allow").alias("by_host"))
     rows = df.select(packed(df), "host", F.col("verdict").alias("by_rule"))
-    # Pages that a rule decides need no partner: their null key goes nowhere near a hot host.
-    key = F.when(F.col("by_rule").isNull(), F.col("host"))
-    joined = rows.join(known, key == F.col("known"), "left")
+    # Pages that a rule decides have no partner. Each gets a key that no host is, so that they spread over all tasks.
+    key = F.when(F.col("by_rule").isNull(), F.col("host")).otherwise(
+        F.concat(F.lit("/"), F.monotonically_increasing_id().cast("string")))
+    joined = rows.withColumn("key", key).join(known, F.col("key") == F.col("known"), "left")
     return unpacked(joined.withColumn("verdict", F.coalesce("by_rule", "by_host")), df.columns,
                     added=["verdict"])
 
@@ -143,6 +159,7 @@ def digest(judged):
 
 
 _RULES_SQL = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in RULES)
+_SUFFIX_SQL = ", ".join(f"'{s}'" for s in SUFFIXES)
 _LOW, _HIGH, _USUAL = STRENGTH
 
 
@@ -169,10 +186,11 @@ rate_{level} AS (
 def _levels_sql(rows):
     return f"""
   SELECT *, CASE WHEN regexp_matches(name, '^[0-9.]+$') THEN name
-                 ELSE array_to_string(string_split(name, '.')[-2:], '.') END AS domain,
-         CASE WHEN regexp_matches(name, '^[0-9.]+$') THEN ''
+                 WHEN two IN ({_SUFFIX_SQL}) THEN array_to_string(string_split(name, '.')[-3:], '.') ELSE two END AS domain,
+         CASE WHEN regexp_matches(name, '^[0-9.]+$') THEN '' WHEN two IN ({_SUFFIX_SQL}) THEN two
               ELSE string_split(name, '.')[-1] END AS suffix
-  FROM (SELECT *, regexp_replace(host, ':[0-9]*$', '') AS name FROM {rows})"""
+  FROM (SELECT *, array_to_string(string_split(name, '.')[-2:], '.') AS two
+        FROM (SELECT *, regexp_replace(host, ':[0-9]*$', '') AS name FROM {rows}))"""
 
 
 ORACLE_SQL = rf"""

@@ -11,11 +11,11 @@
   and a logistic curve, fitted on the training texts, near copies once, turns it into a score from 0 to 1. K and the
   curve see each training text by the counts of the others, else words that only it has would look like proof.
 
-Labels are learned from at most `SAMPLE` labelled rows, drawn by hash of doc_id, of those not held out: a
-bounded table that every task may hold. Background counts and scores cover all documents. Labels of one
-doc_id that differ count as toxic; null labels are left out. Null and empty texts have no segments and get the
-score of no evidence. Without training rows every score is 0. Equal texts get equal scores. Extra columns of documents
-are ignored.
+Labels are learned from at most `SAMPLE` labelled ids and as many of their texts, drawn by hash, of those not held out: a
+bounded table that every task may hold; what reaches the driver is one row per class of near copies. Background counts and
+scores cover all documents. Labels of one doc_id that differ count as toxic; null labels are left out. Null and empty texts
+have no segments and get the score of no evidence. Without training rows every score is 0; an empty table gives
+no rows. Equal texts get equal scores. Extra columns of documents are ignored.
 """
 
 import numpy as np
@@ -223,17 +223,20 @@ def fit(documents, labels, sample=SAMPLE):
     background = summed_counters(texts, WIDTH, _background)
     chosen = training_labels(labels, sample)
     rows = stored(documents.select(column("doc_id").alias("doc_id"), column("text").alias("text"))
-                  .join(F.broadcast(chosen), F.col("doc_id") == F.col("id")).select("text", "toxic"), "training")
+                  .join(F.broadcast(chosen), F.col("doc_id") == F.col("id"))
+                  .select("text", "toxic", F.xxhash64("doc_id", "text").alias("drawn")), "training")
+    last = rows.select("drawn").distinct().orderBy("drawn").limit(sample).agg(F.max("drawn")).first()[0]
+    rows = rows.where(F.col("drawn") <= F.lit(last)).select("text", "toxic")
     clean, toxic = label_counts(rows)
     if not clean.any() or not toxic.any():
         return Model(np.zeros(WIDTH), 1.0, 1.0, (-100.0, 0.0))
     scores, without = log_odds(background, clean, toxic)
     rate = decay(scores - DRIFT, clean + _prior(background, clean.sum() + toxic.sum()))
     shared = spark.sparkContext.broadcast(without)
-    seen = rows.mapInArrow(_best(shared), "class long, n long, best double, toxic boolean, found array<double>").toPandas()
+    seen = rows.mapInArrow(_best(shared), "class long, n long, best double, toxic boolean, found array<double>")
     # One text of a class, the same whatever the order of the rows.
-    seen["all"] = [tuple(f) for f in seen["found"]]
-    seen = seen.sort_values(["class", "toxic", "n", "all"]).drop_duplicates(["class", "toxic"])
+    seen = seen.groupBy("class", "toxic").agg(F.min(F.struct("n", "found", "best")).alias("one")).select(
+        "class", "toxic", "one.*").toPandas().sort_values(["class", "toxic"])
     calm = seen[~seen["toxic"] & (seen["n"] > 0)]
     k = float(np.exp(np.mean(rate * calm["best"] - np.log(calm["n"])) - np.euler_gamma)) if len(calm) else 1.0
     model = Model(scores, rate, max(k, 1e-12), (0.0, 1.0))

@@ -99,6 +99,32 @@ def test_segments_are_those_of_a_quadratic_search():
             assert abs(sum(scores[a:b + 1]) - s) < 1e-9
 
 
+def maximal(scores):
+    """All maximal segments by definition: the best one, then those left and right of it."""
+    best = max(((sum(scores[a:b + 1]), -(b - a), a, b) for a in range(len(scores)) for b in range(a, len(scores))), default=None)
+    if best is None or best[0] <= 0:
+        return []
+    _, _, a, b = best
+    return maximal(scores[:a]) + [(a, b)] + [(b + 1 + x, b + 1 + y) for x, y in maximal(scores[b + 1:])]
+
+
+def test_all_maximal_segments_are_found():
+    draw = random.Random(9)
+    for _ in range(60):
+        scores = [-toxicity.DRIFT if draw.random() < 0.7 else draw.uniform(0.05, 1.0) for _ in range(24)]
+        places = [i for i, s in enumerate(scores) if s > 0]
+        found = toxicity.segments(places, [scores[i] for i in places])
+        assert sorted((a, b) for a, b, _ in found) == maximal(scores)
+
+
+def test_a_labelled_id_with_many_texts_and_a_long_text(spark, documents):
+    docs = [(i, prose(i, 30) + (" vile scum" if i % 3 == 0 else "")) for i in range(90)]
+    docs += [(3, prose(500 + i, 30)) for i in range(200)] + [(1, prose(1, 30))] * 50 + [(5000, "ok " * 300000 + "vile scum")]
+    labels = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(90)], "doc_id long, quality int, toxic int")
+    model = toxicity.fit(documents(*docs), labels, sample=60)
+    assert toxicity.score(documents(*docs), model).count() == len(docs)
+
+
 # --- mixing -----------------------------------------------------------------------------------
 
 def test_targets_are_capped_and_shared_again():
@@ -375,9 +401,17 @@ def test_hits_equal_brute_force_and_sql(spark, documents, slice_windows):
 
 # --- hosts ------------------------------------------------------------------------------------
 
+def test_domains_below_public_suffixes(spark):
+    names = spark.createDataFrame([(h,) for h in ("a.b.co.uk", "b.co.uk", "co.uk", "x.github.io:80", "a.b.com", "com", "", "10.0.0.1")], "host string")
+    got = {r["host"]: (r["suffix"], r["domain"]) for r in hosts.levels(names).collect()}
+    assert got == {"a.b.co.uk": ("co.uk", "b.co.uk"), "b.co.uk": ("co.uk", "b.co.uk"), "co.uk": ("co.uk", "co.uk"),
+                   "x.github.io:80": ("github.io", "x.github.io"), "a.b.com": ("com", "b.com"), "com": ("com", "com"),
+                   "": ("", ""), "10.0.0.1": ("", "10.0.0.1")}
+
+
 def test_urls_equal_sql(spark):
     urls = [None, "", "nourl", "http://A.example.ORG/es/1?q", "https://x.example.org/en/12#a", "http://b.com/de/1",
-            "http://b.com/de/2", "http://b.com/x", "ftp://b.com", "http://c.net/fr/", "x://10.0.0.1:80/a", "http://q.com/fr/a://b"]
+            "http://b.com/de/2", "http://b.com/x", "ftp://b.com", "http://c.net/fr/", "http://a.co.uk/z", "http://b.co.uk:8/z", "x://10.0.0.1:80/a", "http://q.com/fr/a://b"]
     pages = spark.createDataFrame([(i % 9, u, "h", "r") for i, u in enumerate(urls * 3)], "page_id long, url string, host string, rule string")
     judged = hosts.judge(pages)
     compare(hosts.digest(judged), hosts.ORACLE_SQL, pages=pages)
