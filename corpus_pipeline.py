@@ -6,26 +6,31 @@ from tarmac.session import work_folder
 
 
 def quality_rules(spark, docs, sf_dir):
+    """Documents that the quality rules keep; the rejected ones go. Null and empty texts are rejected, an empty table stays empty."""
     ship_code(spark)
     return quality.keep_good(docs)
 
 
 def near_duplicates(spark, docs, sf_dir):
+    """One row of each group of near duplicates, and every row without words."""
     ship_code(spark)
     return jaccard.keep_one(docs)
 
 
 def benchmark_decontamination(spark, docs, sf_dir):
+    """Documents without a passage of the benchmark; null texts have none."""
     ship_code(spark)
     return decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def secret_redaction(spark, docs, sf_dir):
+    """All documents, secrets replaced by a mark and `n_chars` counted anew; null texts stay null."""
     ship_code(spark)
     return secret_scan.redact(docs)
 
 
 def source_mixing(spark, docs, sf_dir):
+    """Documents as often as the mix takes them, with `shard` and `place`; nothing comes of an empty table."""
     ship_code(spark)
     return mixing.mix(docs)
 

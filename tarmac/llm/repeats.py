@@ -7,9 +7,10 @@ compared by hash and the shuffle takes the place of the merge sort:
   at the same offset. The windows of one anchor are consecutive: a run. There are about 2 / (W - K) anchors a byte.
 * A run whose anchor occurs once holds nothing repeated. A run whose whole stretch (polynomial prefix hashes give
   its hash) is found twice is repeated throughout. What is left are the ends of repeated passages.
-* There the common extension is searched by halving as on sorted suffixes: windows in blocks of `BLOCK` offsets
-  share a core and lie in a hull. A hull found twice: all repeated. A core found once: none. Windows of the other
-  blocks are compared one by one. These comparisons use 128-bit digests of the bytes themselves.
+* There the common extension is searched in two fixed steps: windows in blocks of `BLOCK` offsets share a core and lie in
+  a hull. A hull found twice: all repeated. A core found once: none. Windows of the other blocks are compared one by
+  one. These comparisons use 128-bit digests of the bytes themselves; whole runs count as equal when the 64-bit hashes of
+  anchor and stretch agree, so there a clash of both would remove bytes that occur once.
 
 Strings are judged on the input: counting is by rows, so equal texts in two rows repeat each other, and matches never
 cross rows. Rows meet by hash only, in counts and joins; no group is gathered. Null texts are empty; texts below W

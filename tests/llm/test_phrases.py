@@ -1,5 +1,10 @@
 import random
+import re
+from collections import Counter
+from types import SimpleNamespace
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from texts import prose
 from test_operators import ODD, compare, rows
@@ -19,10 +24,28 @@ def some_texts():
     return texts
 
 
-@pytest.mark.parametrize("width, chunk", [(1 << 24, 1 << 20), (8, 1 << 20), (1 << 12, 7)])
-def test_phrases_equal_brute_force(documents, monkeypatch, width, chunk):
-    # A counter table of 8 is full at once, so nothing is padded early; slices of 7 words cut through windows.
-    monkeypatch.setattr(phrases, "CHUNK", chunk)
+def windows_of(texts, width, flags):
+    batch = pa.RecordBatch.from_pydict({"lang": pa.array([(t[2] or "und") if len(t) > 2 else "en" for t in texts], pa.string()),
+                                        "text": pa.array([t[1] for t in texts], pa.string())})
+    out = Counter()
+    for part in phrases._windows(SimpleNamespace(value=np.packbits(flags)), width)([batch]):
+        for row in part.to_pylist():
+            out[tuple(row[c] for c in ["lang", *phrases.COLUMNS])] += row["n"]
+    return out
+
+
+def test_slices_cut_through_windows(monkeypatch):
+    texts = [t for t in some_texts() if t[1] is not None]
+    whole = windows_of(texts, 1 << 12, np.ones(1 << 12, bool))
+    assert sum(whole.values()) == sum(len(re.findall(r"[^ \t.,;:!?\n\v\f\r]+", t[1])) for t in texts)
+    monkeypatch.setattr(phrases, "CHUNK", 7)
+    assert windows_of(texts, 1 << 12, np.ones(1 << 12, bool)) == whole
+    assert all(k[2] is None for k in windows_of(texts, 1 << 12, np.zeros(1 << 12, bool)))
+
+
+@pytest.mark.parametrize("width", [1 << 24, 1 << 12, 8])
+def test_phrases_equal_brute_force(documents, width):
+    # A counter table of 8 is full at once, so nothing is padded early.
     texts = some_texts()
     docs = documents(*texts)
     want = phrases.brute_force([(t[1], t[2] if len(t) > 2 else "en") for t in texts], least=5, top=12)

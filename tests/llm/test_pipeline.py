@@ -31,4 +31,12 @@ def test_stages_equal_their_operators_one_after_the_other(spark, documents, tmp_
 def test_every_operator_is_registered():
     from __spark_entry__ import queries
     names = set(queries())
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)) and "pipeline" in names
+
+
+def test_stages_on_nothing_and_on_nulls(spark, documents, tmp_path):
+    spark.createDataFrame([(1, None), (2, "")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    for docs in (documents(), documents((1, None, None, None), (None, None, None, None), (2, "", None, None), (2, "", None, None))):
+        for name, function in corpus_pipeline.STAGES:
+            out = function(spark, docs, str(tmp_path))
+            assert set(docs.columns) <= set(out.columns) and out.count() <= docs.count(), name
