@@ -6,7 +6,6 @@ import time
 from datetime import datetime, timezone
 from decimal import Decimal
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tarmac import schema
@@ -155,15 +154,15 @@ def refresh_summaries(warehouse, years, sketches=False, min_route_flights=50):
 
 
 def _years_beside(warehouse, table, summary, years):
-    """Write the years of a summary beside the live ones; gives the rows to publish. A year without rows is retired."""
+    """Write the years of a summary beside the live ones; gives the rows to publish. A year without rows ends up empty."""
     folder = f"version={wh.new_version()}"
     path = f"{warehouse.path(table)}/{folder}"
     summary.hint("rebalance", "year").write.partitionBy("year").parquet(path)
-    try:
-        filled = {r["year"] for r in warehouse.spark.read.schema(summary.schema).parquet(path).select("year").distinct().collect()}
-    except AnalysisException:  # not a single row
-        filled = set()
-    return [(table, f"year={year}", f"{folder}/year={year}" if year in filled else None, None) for year in years]
+    written = warehouse.spark.read.schema(summary.schema).parquet(path)
+    filled = {r["year"] for r in written.select("year").distinct().collect()} if "year" in written.columns else set()
+    for year in set(years) - filled:
+        warehouse.spark.createDataFrame([], summary.drop("year").schema).write.parquet(f"{path}/year={year}")
+    return [(table, f"year={year}", f"{folder}/year={year}", None) for year in years]
 
 
 def ensure_calendar(warehouse, first=schema.CALENDAR_START, last=schema.CALENDAR_END):

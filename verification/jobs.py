@@ -256,7 +256,8 @@ def load_failed_replace(spark, folder):
     runs = store.runs().agg(F.count_if(F.col("status") == "success").cast("int").alias("succeeded"),
                             F.count_if(F.col("status") == "failed").cast("int").alias("failed"))
     facts = store.facts().agg(F.count("*").alias("flights"), F.sum("arrival_delay_min").alias("arrival_sum"))
-    return facts.join(runs, F.col("flights") >= 0, "left").select("flights", "arrival_sum", "succeeded", "failed")
+    both = facts.unionByName(runs, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
 
 
 @query("stream_replay", f"""
