@@ -181,7 +181,8 @@ def conversations(messages):
         F.monotonically_increasing_id().alias("row"), column("thread").alias("thread"),
         column("turn").cast("long").alias("turn"), column("role").cast("string").alias("role"),
         column("text").alias("text")), "messages")
-    found = links(rows.select("row", "thread", "turn", "text").mapInArrow(_units, _UNITS)).groupBy(
+    units = stored(rows.select("row", "thread", "turn", "text").mapInArrow(_units, _UNITS), "passages")
+    found = links(units).groupBy(
         F.col("row").alias("of")).agg(F.collect_list(F.struct("first", "last", "level", "to_turn", "to_row")).alias("found"))
     shape = _LINKED.format(thread=rows.schema["thread"].dataType.simpleString())
     linked = stored(rows.join(found, F.col("row") == F.col("of"), "left").drop("of").mapInArrow(_rewritten, shape), "linked")

@@ -31,7 +31,7 @@ _SHIFT = np.uint64(64 - BITS)
 SAMPLE = 20_000
 #: Pseudo-counts of the prior, as a share of the training counts.
 PRIOR = 0.005
-#: Pseudo-texts that every token has besides, and the least log-odds that count: the best of eight pairs on three folds
+#: Pseudo-texts that every token has besides, and the least log-odds that count: the best of twelve pairs on three folds
 #: of the training rows (held-out rows took no part).
 LEAST = 3.0
 TELLING = 2.0
