@@ -14,6 +14,10 @@ from pyspark.sql.functions import Column
 from tarmac import schema
 from tarmac.session import work_folder
 
+#: Counters of each of the two hashes, and how many of the fullest ones give the first exact counts.
+SLOTS = 2 ** 16
+FULLEST = 64
+
 
 @dataclass
 class Check:
@@ -157,17 +161,61 @@ def _allowed(value, allowed):
     return inside | value.isNull() if None in allowed else inside
 
 
-def invalid_values(df, column, allowed, n=10):
-    """The most frequent values outside the set; ties in value order."""
+def _values(df, column):
+    """The column alone, stored without a shuffle: whatever is asked of it reads the rows once."""
+    path = work_folder(df.sparkSession, "values")
+    df.select(F.col(column).alias("value")).write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _slots():
+    return [F.pmod(F.xxhash64(F.lit(k), F.col("value")), F.lit(SLOTS)) for k in range(2)]
+
+
+def possible_values(values, n=10):
+    """The rows of `values` whose value may be among the n most frequent ones; the others cannot be.
+
+    Rows are counted by two hashes into `SLOTS` counters each, and a counter is never less than the count of a
+    value in it. The values of the fullest counters are counted exactly; the n-th of these counts bounds the
+    true n-th one from below, so a value with a smaller counter is out. Nothing is estimated: where
+    values hardly repeat the bound is 1 and every row stays.
+    """
+    path = work_folder(values.sparkSession, "counters")
+    slots = [F.struct(F.lit(k).alias("hash"), slot.alias("slot")) for k, slot in enumerate(_slots())]
+    values.select(F.inline(F.array(*slots))).groupBy("hash", "slot").agg(
+        F.count("*").alias("at_most")).write.parquet(path)
+    counters = values.sparkSession.read.parquet(path)
+
+    fullest = counters.filter("hash = 0").orderBy(F.desc("at_most"), "slot").limit(FULLEST).select("slot")
+    # One row: the n-th count, or 1 where fewer values were seen.
+    bound = (
+        values.join(F.broadcast(fullest), _slots()[0] == F.col("slot"), "left_semi")
+        .groupBy("value").agg(F.count("*").alias("occurrences"))
+        .orderBy(F.desc("occurrences")).limit(n)
+        .agg(F.when(F.count("*") == n, F.min("occurrences")).otherwise(1).alias("bound"))
+    ).first()["bound"]
+    for k, slot in enumerate(_slots()):
+        # At most SLOTS rows, of two numbers each.
+        full = counters.filter((F.col("hash") == k) & (F.col("at_most") >= bound)).select("slot")
+        values = values.join(F.broadcast(full), slot == F.col("slot"), "left_semi")
+    return values
+
+
+def _most_frequent(values, n):
     return (
-        df.filter(F.col(column).isNotNull() & ~_allowed(F.col(column), allowed))
-        .groupBy(F.col(column).alias("value"))
+        possible_values(values, n).groupBy("value")
         .agg(F.count("*").alias("occurrences"))
         .orderBy(F.desc("occurrences"), F.asc("value"))
         .limit(n)
     )
 
 
+def invalid_values(df, column, allowed, n=10):
+    """The most frequent values outside the set, with exact counts; ties in value order."""
+    outside = F.col(column).isNotNull() & ~_allowed(F.col(column), allowed)
+    return _most_frequent(_values(df.filter(outside), column), n)
+
+
 def _counted(df, column):
     """How often each value occurs, stored: totals and samples come from it, the rows are read once."""
     path = work_folder(df.sparkSession, "values")
@@ -178,17 +226,13 @@ def _counted(df, column):
 def check_values_in_set(df, column, allowed, threshold=0.99, sample=10):
     """Values outside the set fail, and so does null unless the set holds it. The details show the
     `sample` most frequent ones."""
-    counted = _counted(df, column)
+    values = _values(df, column)
     good = _allowed(F.col("value"), allowed)
-    totals = counted.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
-        F.coalesce(F.sum(F.when(good, F.col("n"))), F.lit(0)).alias("ok"),
-    )
+    totals = values.agg(F.count("*").alias("n"), F.count_if(good).alias("ok"))
     frequent = (
-        counted.filter(F.col("value").isNotNull() & ~good)
-        .orderBy(F.desc("n"), F.asc("value"))
-        .limit(sample)
-        .agg(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("k"), "value", "n")))
+        _most_frequent(values.filter(F.col("value").isNotNull() & ~good), sample)
+        .agg(F.sort_array(F.collect_list(F.struct(
+            (-F.col("occurrences")).alias("k"), "value", F.col("occurrences").alias("n"))))
              .alias("top"))
         .select(F.transform("top", lambda t: F.struct(t["value"].alias("value"), t["n"].alias("n")))
                 .alias("top"))

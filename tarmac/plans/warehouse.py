@@ -1,6 +1,8 @@
 """Warehouse tables on Parquet: locations, reads, and the sinks that write them."""
 
 import uuid
+from functools import reduce
+from operator import and_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -39,6 +41,9 @@ STAGED_TEXT = {
 PUBLISHED = "seq long, table string, unit string, folder string, source string"
 
 
+MAX_ROWS_PER_FILE = 5_000_000
+
+
 def new_version():
     return f"v{uuid.uuid4().hex}"
 
@@ -153,6 +158,29 @@ class Warehouse:
         units = [month_unit(r["year"], r["month"]) for r in months]
         self.publish([("fact_flights", unit, f"{folder}/{unit}", None) for unit in units])
 
+    def merge_months(self, fresh):
+        """Add `fresh` to the months it touches, in one step; it wins over stored flights of the same key.
+
+        `fresh` holds each flight once, and is best stored, so that Spark knows its size: while its keys are small
+        enough to broadcast, stored rows are not shuffled, only copied. Files follow the tasks that read them,
+        which pack small ones, so deliveries do not add up to ever more files.
+        """
+        # Calendar months: few, whatever the number of rows.
+        months = sorted((r["year"], r["month"]) for r in fresh.select("year", "month").distinct().collect())
+        units = [month_unit(year, month) for year, month in months]
+        folder = f"version={new_version()}"
+        (
+            merged(self.facts(only=units), fresh)
+            .transform(with_flight_id)
+            .transform(in_table_order)
+            .sortWithinPartitions("year", "month", "carrier_code", "origin_airport")
+            .write.option("maxRecordsPerFile", MAX_ROWS_PER_FILE)
+            .partitionBy("year", "month")
+            .parquet(f"{self.path('fact_flights')}/{folder}")
+        )
+        self.publish([("fact_flights", unit, f"{folder}/{unit}", None) for unit in units])
+        return months
+
     def drop_superseded(self, table):
         """Delete the folders of a table that no unit names any more; run it when nobody reads older ones."""
         live = {at["folder"] for at in self.units(table).values() if at["folder"] is not None}
@@ -219,7 +247,16 @@ def in_table_order(facts):
     ])
 
 
-def replace_month(facts, path, year, month, max_rows_per_file=5_000_000):
+def merged(stored, fresh):
+    """Stored rows whose flight is not in `fresh`, and all of `fresh`, in the table's types. Both hold each flight once;
+    null key parts equal each other."""
+    keys = fresh.select([F.col(c).alias(f"_{c}") for c in schema.FLIGHT_KEY])
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in schema.FLIGHT_KEY])
+    typed = [F.col(f.name).cast(f.dataType) for f in FACT_TABLE.fields]
+    return stored.join(keys, same, "left_anti").unionByName(in_table_order(fresh).select(typed))
+
+
+def replace_month(facts, path, year, month, max_rows_per_file=MAX_ROWS_PER_FILE):
     """Make the stored month consist of `facts`, which must all belong to it. Writing again gives
     the same table. Rows stay where they are; sorting inside each file lets readers skip parts."""
     (
@@ -231,7 +268,7 @@ def replace_month(facts, path, year, month, max_rows_per_file=5_000_000):
     )
 
 
-def write_months(df, path, max_rows_per_file=5_000_000):
+def write_months(df, path, max_rows_per_file=MAX_ROWS_PER_FILE):
     """Replace every month that occurs in `df`; other months stay. Rebalancing gives months files
     of even size: large months are split over tasks, small ones are not scattered."""
     (

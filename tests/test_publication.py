@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tarmac.operators import clean
 from tarmac.plans import load, states, summaries
+from tarmac.plans import warehouse as wh
 from tarmac.streaming import ingest
 
 
@@ -100,6 +101,47 @@ def test_a_batch_run_again_leaves_one_run(spark, warehouse, tmp_path):
     assert sorted((r.dest_airport, r.arrival_delay_min) for r in warehouse.facts().collect()) == facts
 
 
+def late(january, spark, tmp_path):
+    """A correction of one stored flight and a flight without number, stored as a delivery is."""
+    rows = january.filter("carrier_code = 'DL'").withColumn("arrival_delay_min", F.lit(99).cast("decimal(18,6)"))
+    rows.unionByName(rows.withColumn("flight_number", F.lit(None).cast("string"))).write.parquet(str(tmp_path / "late"))
+    return spark.read.parquet(str(tmp_path / "late"))
+
+
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_late_flights_replace_stored_ones(spark, warehouse, january, tmp_path, threshold):
+    """The same rows whether the keys are broadcast or shuffled, and when the delivery is merged again."""
+    warehouse.replace_months(months(january, 1, 2).transform(wh.with_flight_id))
+    fresh = late(january, spark, tmp_path)
+    february = sorted(map(tuple, warehouse.facts().filter("month = 2").collect()))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        for _ in range(2):
+            assert warehouse.merge_months(fresh) == [(2023, 1)]
+            rows = warehouse.facts().filter("month = 1").collect()
+            assert sorted((r.carrier_code, r.flight_number is None, int(r.arrival_delay_min)) for r in rows) == sorted(
+                [(r.carrier_code, False, int(r.arrival_delay_min)) for r in january.filter("carrier_code <> 'DL'").collect()]
+                + [("DL", False, 99), ("DL", True, 99)])
+            assert len({r.flight_id for r in rows}) == 4
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sorted(map(tuple, warehouse.facts().filter("month = 2").collect())) == february
+
+
+def test_stored_rows_are_not_shuffled_for_a_small_delivery(spark, warehouse, january, tmp_path):
+    warehouse.replace_months(months(january, 1, 2))
+    both = wh.merged(warehouse.facts(only=["year=2023/month=1"]), late(january, spark, tmp_path))
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
+    assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan
+
+
+def test_a_month_without_stored_rows_takes_a_delivery(spark, warehouse, january, tmp_path):
+    assert warehouse.merge_months(late(january, spark, tmp_path)) == [(2023, 1)]
+    assert warehouse.facts().count() == 2
+
+
 def test_run_ids_differ_and_ascend():
     ids = [load.new_run_id() for _ in range(500)]
     assert len(set(ids)) > 490 and max(ids) < 2 ** 63 and ids[0] >> 12 <= ids[-1] >> 12

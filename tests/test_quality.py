@@ -72,6 +72,43 @@ def test_values_in_set(spark):
     assert strict.rows_failed == 1
 
 
+def frequent(df, allowed=(), n=10):
+    return [(r.value, r.occurrences) for r in quality.invalid_values(df, "c", list(allowed), n).collect()]
+
+
+@pytest.mark.parametrize("slots, fullest", [(2 ** 16, 64), (8, 2), (1, 1)])
+def test_frequent_values_are_exact(spark, monkeypatch, slots, fullest):
+    """Whatever the counters are shared by, and with ties across the last place."""
+    monkeypatch.setattr(quality, "SLOTS", slots)
+    monkeypatch.setattr(quality, "FULLEST", fullest)
+    df = spark.range(3000).select(F.expr(
+        "case when id % 10 = 0 then null when id % 3 = 0 then 'hot' when id < 900 then concat('v', id % 40)"
+        " else concat('u', id) end").alias("c")).cache()
+    counts = {}
+    for r in df.collect():
+        if r.c is not None and r.c != "v7":
+            counts[r.c] = counts.get(r.c, 0) + 1
+    want = sorted(counts.items(), key=lambda kv: (-kv[1], kv[0]))
+    for n in (1, 10, 60):
+        assert frequent(df, ["v7"], n) == want[:n]
+
+
+def test_frequent_values_of_few_rows(spark):
+    empty = spark.createDataFrame([], "c string")
+    assert frequent(empty) == [] == frequent(spark.createDataFrame([(None,), ("A",)], "c string"), ["A"])
+    assert frequent(spark.createDataFrame([("b",), ("a",), ("b",)], "c string")) == [("b", 2), ("a", 1)]
+    assert one(quality.check_values_in_set(empty, "c", ["A"])).rows_checked == 0
+
+
+def test_rare_values_are_left_out_before_they_are_shuffled(spark):
+    """Twenty values are frequent; nearly all of the 200,000 single ones cannot be, and leave by their counters."""
+    df = spark.range(300_000).select(F.expr(
+        "case when id < 100000 then concat('h', id % 20) else concat('u', id) end").alias("value"))
+    left = quality.possible_values(df, 10).groupBy().agg(
+        F.count("*").alias("n"), F.count_distinct("value").alias("values")).first()
+    assert left["n"] >= 100_000 and left["values"] < 500
+
+
 def test_numbers_in_set(spark):
     df = spark.createDataFrame([(1,), (7,), (8,)], "d int")
     assert one(quality.check_values_in_set(df, "d", schema.DAYS_OF_WEEK)).rows_failed == 1

@@ -311,6 +311,25 @@ def stream_refreshes_summaries(spark, folder):
         F.sum("total_flights").alias("total_flights"))
 
 
+@query("merge_late_flights", f"""
+SELECT "year", "month", COUNT(*) AS flights, COUNT(*) AS ids,
+       SUM(arrival_delay_min + CASE WHEN {IN_PERIOD} AND departure_delay_min > 15 THEN 7 ELSE 0 END) AS arrival_sum
+FROM f GROUP BY "year", "month" """)
+def merge_late_flights(spark, folder):
+    """All months stored, then corrections of the late departures of one month merged into it."""
+    store = _warehouse(spark)
+    flights = sample.flights(spark, folder).withColumn("flight_number", F.concat_ws("-", *ID)).drop(*ID)
+    store.replace_months(flights.transform(wh.with_flight_id))
+    year, month = PERIOD
+    late, stored = flights.filter((F.col("year") == year) & (F.col("month") == month) & (
+        F.col("departure_delay_min") > 15)), work_folder(spark, "late")
+    late.withColumn("arrival_delay_min", F.col("arrival_delay_min") + 7).write.parquet(stored)
+    store.merge_months(spark.read.parquet(stored))
+    return store.facts().groupBy("year", "month").agg(
+        F.count("*").alias("flights"), F.count_distinct("flight_id").alias("ids"),
+        F.sum("arrival_delay_min").alias("arrival_sum"))
+
+
 # --- classifier -----------------------------------------------------------------------------
 
 FEATURE_SQL = f"""

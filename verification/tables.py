@@ -483,6 +483,14 @@ def dq_invalid_top10(spark, folder):
     return quality.invalid_values(sample.flights(spark, folder), "carrier_code", OFFERED)
 
 
+@query("dq_invalid_rare_values", """
+SELECT CAST(l_orderkey AS VARCHAR) AS "value", COUNT(*) AS occurrences FROM f GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10""")
+def dq_invalid_rare_values(spark, folder):
+    """Values that hardly repeat: a number for every few rows, none of them allowed."""
+    return quality.invalid_values(
+        sample.flights(spark, folder).withColumn("reference", F.col("l_orderkey").cast("string")), "reference", [])
+
+
 @query("dq_values_in_set", expected(
     "values_in_set::carrier_code", "validity", "carrier_code", "COUNT(*)",
     f"COUNT(*) FILTER (WHERE carrier_code IN ({OFFERED_SQL}))", 0.99,
