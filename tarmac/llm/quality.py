@@ -51,7 +51,6 @@ COMMON = {
     "de": ["der", "die", "und", "in", "den", "von", "zu", "das", "mit", "nicht", "ist", "ein"],
     "es": ["de", "la", "que", "el", "en", "los", "del", "se", "las", "por", "un", "para"],
 }
-LANGUAGES = list(COMMON)  # of the SQL
 WORDS = sorted({w for words in COMMON.values() for w in words})
 SIZES = {"chars": 7, "common_words": len(WORDS) + 1}
 ADDED = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
@@ -218,8 +217,26 @@ def digest(judged):
                          "n_repeat_words", "base_failed", "kept")
 
 
+def _shares_sql(values):
+    return f"list_transform({values}, lambda x: CASE WHEN list_sum({values}) > 0 THEN x / list_sum({values}) ELSE 0 END)"
+
+
+def _distance_sql(a, b):
+    part = "CASE WHEN p[{0}] > 0 THEN p[{0}] * log2(2 * p[{0}] / (p[1] + p[2])) ELSE 0 END"
+    return (f"sqrt(greatest(0, list_sum(list_transform(list_zip({a}, {b}), "
+            f"lambda p: ({part.format(1)} + {part.format(2)}) / 2))))")
+
+
+def _means_sql(name):
+    bins = ", ".join(f"sum(CAST(round(t_{name}[{k + 1}] * {PARTS}) AS BIGINT)) FILTER (WHERE near)"
+                     f" / (count(*) FILTER (WHERE near) * {float(PARTS)})" for k in range(SIZES[name]))
+    return f"CASE WHEN count(*) FILTER (WHERE near) > 0 THEN [{bins}] ELSE {name} END AS new_{name}"
+
+
+#: The recursion ends with a still reference, as `references` does; that one also ends where references of earlier steps come
+#: again, for which the SQL has a number of steps.
 ORACLE_SQL = """
-WITH docs AS (
+WITH RECURSIVE docs AS (
   SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS t FROM documents),
 split AS (
   SELECT r, doc_id, lang, t, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS w,
@@ -233,7 +250,7 @@ repeated AS (
   SELECT r, count(DISTINCT p) AS n_repeat_words
   FROM (SELECT r, unnest(range(j, j + 5)) AS p FROM again WHERE n > 1) GROUP BY r),
 counted AS (
-  SELECT r, doc_id, lang, w, array_to_string(w, '') AS solid, len(t) AS n_all,
+  SELECT r, doc_id, lang, t, w, array_to_string(w, '') AS solid, len(t) AS n_all,
          CAST(len(w) AS BIGINT) AS n_words,
          CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
          CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words
@@ -247,62 +264,65 @@ classes AS (
          len(regexp_replace(solid, '[\\x00-\\x7F]+', '', 'g')) AS a5,
          n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed
   FROM counted),
-char_shares AS (
-  SELECT r, lang, n_words, base_failed, unnest(range(7)) AS k,
-         unnest([word_chars - a1, a1 - a2, a2 - a3, a3 - a4, a4 - a5, a5, n_all - word_chars])
-         / greatest(n_all, 1) AS x FROM classes),
-bins(k, word) AS (SELECT unnest(range(@n + 1)), unnest([@words, NULL])),
-word_counts AS (
-  SELECT r, k, count(*) AS n
-  FROM (SELECT r, unnest(w) AS word FROM classes) t
-  JOIN (SELECT k, word FROM bins WHERE word IS NOT NULL UNION ALL
-        SELECT k, upper(word[1]) || word[2:] FROM bins WHERE word IS NOT NULL UNION ALL
-        SELECT k, upper(word) FROM bins WHERE word IS NOT NULL AND len(word) > 1) b
-    ON t.word = b.word GROUP BY r, k),
-word_shares AS (
-  SELECT c.r, lang, n_words, base_failed, 7 + b.k AS k,
-         CASE WHEN n_words = 0 THEN 0 WHEN b.word IS NULL
-              THEN (n_words - coalesce((SELECT sum(n) FROM word_counts z WHERE z.r = c.r), 0)) / n_words
-              ELSE coalesce(n, 0) / n_words END AS x
-  FROM classes c CROSS JOIN bins b LEFT JOIN word_counts v ON v.r = c.r AND v.k = b.k),
-shares AS (SELECT * FROM char_shares UNION ALL SELECT * FROM word_shares),
-languages(l) AS (SELECT unnest([@languages])),
-first AS (
-  SELECT lang AS l, k, avg(x) AS y FROM shares
-  WHERE NOT base_failed AND n_words >= @words_from AND lang IN (SELECT l FROM languages) GROUP BY ALL),
-first_each AS (
-  SELECT r, l, lang, n_words, base_failed, k >= 7 AS of_words,
-         sqrt(greatest(0, sum((CASE WHEN x > 0 THEN x * log2(2 * x / (x + y)) ELSE 0 END
-                               + CASE WHEN y > 0 THEN y * log2(2 * y / (x + y)) ELSE 0 END) / 2))) AS d
-  FROM shares JOIN first USING (k) GROUP BY ALL),
-near AS (
-  SELECT r FROM first_each WHERE l = lang AND NOT base_failed AND n_words >= @words_from
-  GROUP BY r HAVING bool_and(d <= CASE WHEN of_words THEN @trim_words ELSE @trim_chars END)),
+counts AS (
+  SELECT *, list_transform([word_chars - a1, a1 - a2, a2 - a3, a3 - a4, a4 - a5, a5, n_all - word_chars],
+                           lambda x: CAST(x AS DOUBLE)) AS char_counts,
+         list_transform([@words], lambda v: CAST(len(list_filter(w, lambda x:
+           x = v OR x = upper(v[1]) || v[2:] OR x = upper(v))) AS DOUBLE)) AS found
+  FROM classes),
+shares AS MATERIALIZED (
+  SELECT r, doc_id, lang, t, n_words, word_chars, CAST(a1 - a2 AS BIGINT) AS n_symbols, n_dup_lines, n_repeat_words,
+         base_failed, @char_shares AS chars, @word_shares AS common_words
+  FROM (SELECT *, list_append(found, n_words - list_sum(found)) AS word_counts FROM counts)),
+texts AS MATERIALIZED (
+  SELECT lang, t, any_value(chars) AS t_chars, any_value(common_words) AS t_common_words,
+         count(*) OVER (PARTITION BY lang) AS texts_of_lang
+  FROM shares WHERE NOT base_failed AND n_words >= @words_from AND lang IS NOT NULL GROUP BY lang, t
+  QUALIFY texts_of_lang >= @usable),
+middles AS (
+  SELECT lang, k, quantile_disc(floor(x * @cells), 0.5) / @cells AS x
+  FROM (SELECT lang, unnest(t_chars || t_common_words) AS x,
+               unnest(range(1, 1 + len(t_chars || t_common_words))) AS k FROM texts)
+  GROUP BY lang, k),
+medians AS (
+  SELECT lang, list(x ORDER BY k) FILTER (WHERE k <= @n_chars) AS m_chars,
+         list(x ORDER BY k) FILTER (WHERE k > @n_chars) AS m_common_words
+  FROM middles GROUP BY lang),
+known AS (
+  SELECT 0 AS step, lang, @median_chars AS chars, @median_words AS common_words,
+         CAST(1 AS DOUBLE) AS move
+  FROM medians
+  UNION ALL
+  SELECT step + 1, lang, new_chars, new_common_words, max(greatest(
+           list_max(list_transform(list_zip(chars, new_chars), lambda p: abs(p[1] - p[2]))),
+           list_max(list_transform(list_zip(common_words, new_common_words), lambda p: abs(p[1] - p[2]))))) OVER ()
+  FROM (
+    SELECT step, lang, chars, common_words, @mean_chars, @mean_words
+    FROM (
+      SELECT step, lang, chars, common_words, t_chars, t_common_words,
+             @near_chars <= @trim_chars AND @near_words <= @trim_words AS near
+      FROM known JOIN texts USING (lang) WHERE move > @still AND step < 1000)
+    GROUP BY step, lang, chars, common_words)),
 final AS (
-  SELECT lang AS l, k, avg(x) AS y FROM shares
-  WHERE r IN (SELECT r FROM near) GROUP BY ALL
-  UNION ALL SELECT l, k, y FROM first
-  WHERE l NOT IN (SELECT lang FROM shares WHERE r IN (SELECT r FROM near))),
-final_each AS (
-  SELECT r, l, lang, k >= 7 AS of_words,
-         sqrt(greatest(0, sum((CASE WHEN x > 0 THEN x * log2(2 * x / (x + y)) ELSE 0 END
-                               + CASE WHEN y > 0 THEN y * log2(2 * y / (x + y)) ELSE 0 END) / 2))) AS d
-  FROM shares JOIN final USING (k) GROUP BY ALL),
+  SELECT lang, chars AS of_chars, common_words AS of_words FROM known
+  WHERE step = (SELECT max(step) FROM known)),
 distances AS (
-  SELECT r, coalesce(max(d) FILTER (NOT of_words AND l = lang), min(d) FILTER (NOT of_words)) AS chars,
-         coalesce(max(d) FILTER (of_words AND l = lang), min(d) FILTER (of_words)) AS words
-  FROM final_each GROUP BY r)
-SELECT doc_id, n_words, word_chars, CAST(a1 - a2 AS BIGINT) AS n_symbols, n_dup_lines, n_repeat_words,
-       base_failed,
-       NOT base_failed AND NOT (
-         (n_words >= @chars_from AND coalesce(chars, 0) > @far)
-         OR (n_words >= greatest(@chars_from, @words_from) AND coalesce(chars, 0) > @max_chars
-             AND coalesce(words, 0) > @max_words)) AS kept
-FROM classes LEFT JOIN distances USING (r)
+  SELECT s.*, CASE WHEN f.lang IS NOT NULL AND n_words >= @chars_from THEN @far_chars ELSE 0 END AS d_chars,
+         CASE WHEN f.lang IS NOT NULL AND n_words >= @words_from THEN @far_words ELSE 0 END AS d_words
+  FROM shares s LEFT JOIN final f ON s.lang = f.lang)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT (d_chars > @far OR (d_chars > @max_chars AND d_words > @max_words)) AS kept
+FROM distances
 """
-for _name, _value in {"@words_from": WORDS_FROM, "@chars_from": CHARS_FROM, "@trim_words": TRIM_WORDS,
-                      "@trim_chars": TRIM_CHARS, "@far": FAR_CHARS, "@max_chars": MAX_CHARS,
-                      "@max_words": MAX_WORDS, "@words": ", ".join(f"'{w}'" for w in WORDS),
-                      "@languages": ", ".join(f"'{x}'" for x in LANGUAGES),
-                      "@n": len(WORDS)}.items():
+# Longer names first: some begin with others.
+for _name, _value in sorted({
+        "@words_from": WORDS_FROM, "@chars_from": CHARS_FROM, "@trim_words": TRIM_WORDS, "@trim_chars": TRIM_CHARS,
+        "@far": FAR_CHARS, "@max_chars": MAX_CHARS, "@max_words": MAX_WORDS, "@usable": USABLE, "@cells": float(CELLS),
+        "@still": STILL, "@n_chars": SIZES["chars"], "@words": ", ".join(f"'{w}'" for w in WORDS),
+        "@char_shares": _shares_sql("char_counts"), "@word_shares": _shares_sql("word_counts"),
+        "@median_chars": _shares_sql("m_chars"), "@median_words": _shares_sql("m_common_words"),
+        "@mean_chars": _means_sql("chars"), "@mean_words": _means_sql("common_words"),
+        "@near_chars": _distance_sql("t_chars", "chars"), "@near_words": _distance_sql("t_common_words", "common_words"),
+        "@far_chars": _distance_sql("s.chars", "of_chars"), "@far_words": _distance_sql("s.common_words", "of_words"),
+        }.items(), reverse=True):
     ORACLE_SQL = ORACLE_SQL.replace(_name, str(_value))

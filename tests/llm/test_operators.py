@@ -308,6 +308,8 @@ def test_a_junk_text_in_a_third_of_the_rows_does_not_become_the_reference(docume
     assert {r["doc_id"] for r in quality.keep_good(docs).collect()} == {i for i, _ in good}
     mostly = documents(*good[:20], *[(100 + i, junk) for i in range(200)])
     assert {r["doc_id"] for r in quality.keep_good(mostly).collect()} == {i for i, _ in good[:20]}
+    for rows in (docs, mostly):
+        compare(quality.digest(quality.judge(rows)), quality.ORACLE_SQL, documents=rows)
 
 
 def test_languages_are_not_held_against_others(documents):
@@ -319,6 +321,7 @@ def test_languages_are_not_held_against_others(documents):
     for docs in (documents(*good, *other, *few, *junk), documents(*other, *few, *junk)):
         assert {r["doc_id"] for r in quality.keep_good(docs).where("doc_id >= 100").collect()} == {
             r[0] for r in other + few}
+        compare(quality.digest(quality.judge(docs)), quality.ORACLE_SQL, documents=docs)
 
 
 # --- quotations -------------------------------------------------------------------------------
