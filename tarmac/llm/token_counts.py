@@ -6,23 +6,35 @@ segment tree per document (two sums per node: characters and tokens). An edit fi
 on character sums; only these leaves, and a neighbour as context where an edge is no longer a safe cut, are
 encoded again; sums above them are updated on the way to the root.
 
+Trees are stored between runs as a table (`plant`): a row per document with its text and, leaf by leaf, characters and
+tokens. `edited` takes such rows and changes to them and gives the counts and the changed rows, which can be stored
+and edited again: what no edit touches is encoded once, when its document is planted. Rows without edits need not be
+read through it; join changes to the stored trees by doc_id and pass the rows that have some. A leaf is split or joined
+with its neighbours only inside the region of an edit; the sums are laid out anew when a region has outgrown its leaves
+`WIDEST` times, so often at most as text of that size is put in.
+
 Null texts are empty: 0 tokens. Edits are (start, end, replacement) in code points, applied one after the other, each
 on the text as it then is; places beyond the end count as the end, null replacements are empty. Documents without
-edits keep their counts. Equal rows get equal counts. Extra columns of documents are ignored.
+edits (null or an empty array) keep their counts. Equal rows get equal counts; an empty table gives no rows. Extra columns of
+documents are ignored. A text without safe cuts is one leaf, however long, so every edit encodes all of it.
 """
 
 import base64
 import re
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import column
+from tarmac.llm.common import column, pieces, stored
 
 #: Fixed value: the pattern of the public byte-level vocabularies.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 LEAF = 64
+#: Characters a leaf may grow to by edits before the sums are laid out anew, and fields of a stored tree.
+WIDEST = 16 * LEAF
+TREE = "text string, sizes array<bigint>, tokens array<bigint>"
 REMEMBERED = 200_000
 
 
@@ -58,6 +70,21 @@ class Tree:
         self.count, self.encoded = count, 0
         self.build(self.leaves(text))
 
+    @classmethod
+    def of(cls, text, sizes, tokens, count):
+        """A stored tree: nothing is encoded."""
+        tree, start, leaves = cls("", count), 0, []
+        for size, n in zip(sizes, tokens):
+            leaves.append((text[start:start + size], n))
+            start += size
+        tree.build(leaves)
+        return tree
+
+    def stored(self):
+        """Text, characters and tokens of each leaf."""
+        kept = [(len(t), self.tokens[self.size + i]) for i, t in enumerate(self.texts) if t]
+        return self.text(), [size for size, _ in kept], [n for _, n in kept]
+
     def leaves(self, text):
         out, some, size, tokens = [], [], 0, 0
         for piece in cuts(text):
@@ -116,19 +143,19 @@ class Tree:
         while last + 1 < len(self.texts) and not self.safe(middle, self.texts[last + 1]):
             last += 1
             middle += self.texts[last]
-        fresh = self.leaves(middle)
-        if len(fresh) <= last - first + 1:
-            fresh += [("", 0)] * (last - first + 1 - len(fresh))
-            for i, (t, n) in enumerate(fresh, first):
-                self.texts[i] = t
-                k = self.size + i
-                self.chars[k], self.tokens[k] = len(t), n
-                while k > 1:
-                    k //= 2
-                    self.update(k)
-        else:
+        fresh, room = self.leaves(middle), last - first + 1
+        if len(fresh) > room and len(middle) > WIDEST * room:
             kept = [(t, self.tokens[self.size + i]) for i, t in enumerate(self.texts)]
-            self.build(kept[:first] + fresh + kept[last + 1:])
+            return self.build(kept[:first] + fresh + kept[last + 1:])
+        some = -(-len(fresh) // room) or 1
+        for i in range(room):
+            joined = fresh[i * some:(i + 1) * some]
+            self.texts[first + i] = "".join(t for t, _ in joined)
+            k = self.size + first + i
+            self.chars[k], self.tokens[k] = len(self.texts[first + i]), sum(n for _, n in joined)
+            while k > 1:
+                k //= 2
+                self.update(k)
 
     @staticmethod
     def safe(left, right):
@@ -139,34 +166,66 @@ class Tree:
         return "".join(self.texts)
 
 
-def count(documents, edits, vocabulary):
-    """(doc_id, n_tokens, n_edits, n_tokens_after, n_chars_after, n_encoded) of every document.
-
-    documents carry an array `edits` of structs (start, end, replacement) made by the column expression
-    `edits`; `n_encoded` is the number of characters encoded again for the edits.
+def plant(documents, vocabulary, edits=None):
+    """Stored trees: (doc_id, text, sizes, tokens) of every document, and `edits` of it if such a column is given."""
+    def scan(batches):
+        counter = encoder(vocabulary)
+        for batch in batches:
+            for part in pieces(batch):
+                texts = pc.fill_null(part.column("text"), "")
+                trees = [Tree(text, counter).stored()[1:] for text in texts.to_pylist()]
+                at = part.schema.get_field_index("text")
+                arrays = [*part.columns[:at], texts, *part.columns[at + 1:],
+                          pa.array([sizes for sizes, _ in trees], pa.list_(pa.int64())),
+                          pa.array([tokens for _, tokens in trees], pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(arrays, names=[*part.schema.names, "sizes", "tokens"])
+
+    df = documents.select(column("doc_id"), *([] if edits is None else [edits.alias("edits")]),
+                          column("text").alias("text"))
+    kept = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in df.schema.fields if f.name != "text")
+    return stored(df.mapInArrow(scan, kept + TREE), "trees")
+
+
+def edited(trees, vocabulary, keep=True):
+    """(doc_id, n_tokens, n_edits, n_tokens_after, n_chars_after, n_encoded) of stored trees with a column `edits`, and with
+    `keep` the trees after the edits (text, sizes, tokens).
+
+    `edits` is an array of structs (start, end, replacement); `n_encoded` is the number of characters encoded again.
     """
+    counts = ["n_tokens", "n_edits", "n_tokens_after", "n_chars_after", "n_encoded"]
+
     def scan(batches):
         counter = encoder(vocabulary)
         for batch in batches:
-            rows = {name: [] for name in ("n_tokens", "n_edits", "n_tokens_after", "n_chars_after", "n_encoded")}
-            for text, changes in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                tree = Tree(text or "", counter)
-                rows["n_tokens"].append(tree.tokens[1])
-                tree.encoded = 0
-                for change in changes or ():
-                    tree.edit(change["start"], change["end"], change["replacement"] or "")
-                rows["n_edits"].append(len(changes or ()))
-                rows["n_tokens_after"].append(tree.tokens[1])
-                rows["n_chars_after"].append(tree.chars[1])
-                rows["n_encoded"].append(tree.encoded)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0)] + [pa.array(v, pa.int64()) for v in rows.values()],
-                names=["doc_id", *rows])
-
-    df = documents.select(column("doc_id"), column("text").alias("text"), edits.alias("edits"))
+            for part in pieces(batch):
+                rows, after = {name: [] for name in counts}, []
+                for text, sizes, tokens, changes in zip(*[part.column(c).to_pylist()
+                                                          for c in ("text", "sizes", "tokens", "edits")]):
+                    tree = Tree.of(text, sizes, tokens, counter)
+                    before = tree.tokens[1]
+                    for change in changes or ():
+                        tree.edit(change["start"], change["end"], change["replacement"] or "")
+                    for name, n in zip(counts, (before, len(changes or ()), tree.tokens[1], tree.chars[1], tree.encoded)):
+                        rows[name].append(n)
+                    if keep:
+                        after.append(tree.stored())
+                arrays = [part.column("doc_id")] + [pa.array(v, pa.int64()) for v in rows.values()]
+                if keep:
+                    kinds = (pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+                    arrays += [pa.array([tree[k] for tree in after], kind) for k, kind in enumerate(kinds)]
+                yield pa.RecordBatch.from_arrays(
+                    arrays, names=["doc_id", *counts, *(["text", "sizes", "tokens"] if keep else [])])
+
+    df = trees.select("doc_id", "edits", "text", "sizes", "tokens")
     kind = df.schema["doc_id"].dataType.simpleString()
-    return df.mapInArrow(scan, f"doc_id {kind}, n_tokens long, n_edits long, n_tokens_after long, "
-                               "n_chars_after long, n_encoded long")
+    return df.mapInArrow(scan, f"doc_id {kind}, " + ", ".join(f"{name} long" for name in counts)
+                         + (f", {TREE}" if keep else ""))
+
+
+def count(documents, edits, vocabulary):
+    """Counts of every document before and after the edits that the column expression `edits` draws from it: its tree is
+    stored first and edited as stored."""
+    return edited(plant(documents, vocabulary, edits), vocabulary, keep=False)
 
 
 def heading_edits(text="text"):

@@ -286,6 +286,52 @@ def test_a_small_edit_encodes_little(documents):
     assert row["n_tokens_after"] == token_counts.encoder(VOCABULARY)(text[:9000] + "Q" + text[9001:])
 
 
+def changes(*some):
+    return F.array(*[F.struct(F.lit(a).alias("start"), F.lit(b).alias("end"), F.lit(new).alias("replacement"))
+                     for a, b, new in some])
+
+
+def test_stored_trees_are_edited_again(documents):
+    """Two runs over the stored trees give what one run with all edits gives, and counts from scratch."""
+    texts = {1: prose(1, 3000), 2: "", 3: "x" * 5000, 4: None}
+    one, two = [(7, 9, " new words"), (2000, 2500, None)], [(100, 100, "\n\n  inserted, and more" * 80), (0, 5, "")]
+    docs = documents(*texts.items(), (1, texts[1]))
+    trees = token_counts.plant(docs, VOCABULARY)
+    assert sorted(trees.columns) == ["doc_id", "sizes", "text", "tokens"]
+    first = token_counts.stored(token_counts.edited(trees.withColumn("edits", changes(*one)), VOCABULARY), "edited")
+    second = token_counts.edited(first.withColumn("edits", changes(*two)), VOCABULARY).collect()
+    count = token_counts.encoder(VOCABULARY)
+    assert len(second) == 5
+    for row in second:
+        text = texts[row["doc_id"]] or ""
+        for a, b, new in one + two:
+            a = min(a, len(text))
+            text = text[:a] + (new or "") + text[max(a, min(b, len(text))):]
+        assert (row["text"], row["n_tokens_after"], row["n_chars_after"]) == (text, count(text), len(text))
+        assert (sum(row["sizes"]), sum(row["tokens"])) == (len(text), count(text)) and 0 not in row["sizes"]
+    whole = token_counts.count(docs, changes(*one, *two), VOCABULARY).collect()
+    assert sorted((r["doc_id"], r["n_tokens_after"], r["n_edits"]) for r in whole) == sorted(
+        (r["doc_id"], r["n_tokens_after"], 4) for r in second)
+    untouched = token_counts.edited(first.withColumn("edits", F.array().cast("array<struct<start:int,end:int,replacement:string>>")),
+                                    VOCABULARY).collect()
+    assert all(r["n_encoded"] == 0 and r["n_tokens"] == r["n_tokens_after"] for r in untouched)
+    assert token_counts.count(documents(), changes(*one), VOCABULARY).count() == 0
+
+
+def test_many_insertions_at_one_place_lay_out_the_sums_rarely(monkeypatch):
+    count = token_counts.encoder(VOCABULARY)
+    text = prose(5, 2000)
+    tree = token_counts.Tree(text, count)
+    built = []
+    build = token_counts.Tree.build
+    monkeypatch.setattr(token_counts.Tree, "build", lambda self, leaves: built.append(len(leaves)) or build(self, leaves))
+    for i in range(300):
+        tree.edit(4000, 4000, f" word{i}")
+        text = text[:4000] + f" word{i}" + text[4000:]
+    assert (tree.text(), tree.tokens[1]) == (text, count(text))
+    assert len(built) <= 3 and tree.encoded < 300 * 2 * token_counts.WIDEST
+
+
 # --- quality ----------------------------------------------------------------------------------
 
 def test_quality_equals_sql(documents):
