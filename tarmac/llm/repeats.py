@@ -5,8 +5,9 @@ compared by hash and the shuffle takes the place of the merge sort:
 
 * Anchors: in every window of W bytes the K-byte string with the smallest hash. Equal windows have the same anchor
   at the same offset. The windows of one anchor are consecutive: a run. There are about 2 / (W - K) anchors a byte.
-* A run whose anchor occurs once holds nothing repeated. A run whose whole stretch (polynomial prefix hashes give
-  its hash) is found twice is repeated throughout. What is left are the ends of repeated passages.
+* A run whose anchor occurs once holds nothing repeated. A run whose whole stretch is found twice is repeated throughout:
+  polynomial prefix hashes give the stretch's hash, and a digest of its bytes verifies it, since powers modulo 2^64 make
+  some unlike strings collide whatever their base (Thue-Morse words do). What is left are the ends of repeated passages.
 * There the common extension is searched in two fixed steps: windows in blocks of `BLOCK` offsets share a core and lie in
   a hull. A hull found twice: all repeated. A core found once: none. Windows of the other blocks are compared one by
   one. These comparisons use 128-bit digests of the bytes themselves; whole runs count as equal when the 64-bit hashes of
@@ -14,7 +15,7 @@ compared by hash and the shuffle takes the place of the merge sort:
 
 Strings are judged on the input: counting is by rows, so equal texts in two rows repeat each other, and matches never
 cross rows. Rows meet by hash only, in counts and joins; no group is gathered. Null texts are empty; texts below W
-bytes lose nothing. Removing may cut characters in half: kept bytes are returned as they are, and texts decode
+bytes lose nothing, and an empty table gives an empty result. Removing may cut characters in half: kept bytes are returned as they are, and texts decode
 them without broken characters. Extra columns are kept; columns named like an added one are replaced.
 """
 
@@ -54,12 +55,12 @@ def _least(values, m):
     return np.minimum(behind[:n - m + 1], ahead[m - 1:n])
 
 
-def _runs(data, offsets, w=W, k=K):
-    """Row, anchor, first and last window start (within the row), hashes of anchor and stretch."""
+def _runs(data, offsets, w=W, k=K, chunk=CHUNK):
+    """Row, anchor, first and last window start (within the row), hashes of anchor and stretch, digest of the stretch."""
     rows = np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(offsets))
     out = []
-    for c in range(0, max(len(data) - w + 1, 0), CHUNK):
-        d = data[c:c + CHUNK + w - 1]
+    for c in range(0, max(len(data) - w + 1, 0), chunk):
+        d = data[c:c + chunk + w - 1]
         n = len(d)
         up, down = tokens._power(n + 1)
         sums = np.zeros(n + 1, np.uint64)
@@ -77,25 +78,31 @@ def _runs(data, offsets, w=W, k=K):
         at = anchor[first]
         stretch = tokens.mixed((sums[last + w] - sums[first]) * down[first])
         stretch = tokens.mixed(stretch + (at - first).astype(np.uint64) * np.uint64(2 ** 40 + 15))
+        raw = d.tobytes()
+        proof = np.frombuffer(b"".join(_proof(raw[a:b + w]) for a, b in zip(first.tolist(), last.tolist())), np.int64)
         base = offsets[row[first]] - c
-        out.append((row[first], at - base, first - base, last - base, gram[at], stretch))
+        out.append((row[first], at - base, first - base, last - base, gram[at], stretch, proof))
     if not out:
-        return [np.zeros(0, np.int64)] * 4 + [np.zeros(0, np.uint64)] * 2
+        return [np.zeros(0, np.int64)] * 4 + [np.zeros(0, np.uint64)] * 2 + [np.zeros(0, np.int64)]
     return [np.concatenate(x) for x in zip(*out)]
 
 
-def _scan(w, k):
+def _proof(raw):
+    return hashlib.blake2b(raw, digest_size=8).digest()
+
+
+def _scan(w, k, chunk):
     def scan(batches):
         for batch in batches:
             for part in pieces(batch):
                 data, offsets = utf8(part.column(2))
-                row, at, first, last, gram, stretch = _runs(data, offsets, w, k)
+                row, at, first, last, gram, stretch, proof = _runs(data, offsets, w, k, chunk)
                 ids = [part.column(i).to_numpy()[row] for i in (0, 1)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids[0]), pa.array(ids[1]), pa.array(gram.view(np.int64)),
-                     pa.array(stretch.view(np.int64))]
+                     pa.array(stretch.view(np.int64)), pa.array(proof)]
                     + [pa.array(x.astype(np.int32)) for x in (at, first, last)],
-                    names=["id1", "id2", "gram", "stretch", "at", "first", "last"])
+                    names=["id1", "id2", "gram", "stretch", "proof", "at", "first", "last"])
     return scan
 
 
@@ -187,25 +194,27 @@ def _often(rows, key):
 
 
 def _settled(rows, key, part, one):
-    """Of rows with a repeated `key`: those whose `part` is repeated too, and what stays open.
+    """Of rows with a repeated `key`: those whose `part` (some columns) is repeated too, and what stays open.
 
     Where some part of a key is there once, one row of each of its other parts stays open as well, as
     the others' possible partner. Rows return with the columns of the struct `one`.
     """
-    groups = stored(rows.groupBy(key, part).agg(F.count("*").alias("n"), F.min(one).alias("one")), "groups")
-    whole = rows.join(groups.where("n > 1").select(F.col(key).alias("k"), F.col(part).alias("p")),
-                      (F.col(key) == F.col("k")) & (F.col(part) == F.col("p")), "left_semi")
+    names = [key, *part]
+    groups = stored(rows.groupBy(*names).agg(F.count("*").alias("n"), F.min(one).alias("one")), "groups")
+    whole = rows.join(groups.where("n > 1").select(*[F.col(c).alias(f"same_{c}") for c in names]),
+                      [F.col(c) == F.col(f"same_{c}") for c in names], "left_semi")
     partly = stored(groups.where("n = 1").select(F.col(key).alias("k")).distinct(), "partly")
     return whole, groups.join(partly, F.col(key) == F.col("k"), "left_semi").select("one.*")
 
 
-def ranges(documents, w=W, k=K):
-    """(id1, id2, covered): for each text the first and last starts of repeated windows."""
+def ranges(documents, w=W, k=K, chunk=CHUNK):
+    """(id1, id2, covered): for each text the first and last starts of repeated windows. A task scans `chunk` bytes at
+    a time, a million at most."""
     texts = _identified(documents)
-    runs = stored(texts.mapInArrow(_scan(w, k), "id1 long, id2 long, gram long, stretch long, at int, "
-                                                "first int, last int"), "runs")
+    runs = stored(texts.mapInArrow(_scan(w, k, min(chunk, CHUNK)), "id1 long, id2 long, gram long, stretch long, proof long, "
+                                                                   "at int, first int, last int"), "runs")
     again = stored(_often(runs, "gram"), "again")
-    whole, open_ = _settled(again, "gram", "stretch", F.struct(*_ID, "at", "first", "last"))
+    whole, open_ = _settled(again, "gram", ["stretch", "proof"], F.struct(*_ID, "at", "first", "last"))
     open_ = open_.groupBy(F.col("id1").alias("i1"), F.col("id2").alias("i2")).agg(
         F.collect_set(F.struct("at", "first", "last")).alias("open"))
     near = texts.join(open_, (F.col("id1") == F.col("i1")) & (F.col("id2") == F.col("i2"))).select(
@@ -215,7 +224,7 @@ def ranges(documents, w=W, k=K):
                     .withColumn("run", F.monotonically_increasing_id()), "around")
     blocks = stored(_often(around.mapInArrow(_blocks(w), _KINDS), "core"), "blocks").withColumn(
         "hull", F.coalesce("hull", F.concat_ws(":", F.col("run").cast("string"), F.col("block").cast("string")).cast("binary")))
-    sure, open_blocks = _settled(blocks, "core", "hull", F.struct("run", "block"))
+    sure, open_blocks = _settled(blocks, "core", ["hull"], F.struct("run", "block"))
     open_blocks = open_blocks.groupBy(F.col("run").alias("r")).agg(F.collect_set("block").alias("open"))
     fine = around.join(open_blocks, F.col("run") == F.col("r")).drop("r")
     single = _often(fine.mapInArrow(_windows(w), _KINDS), "core")
@@ -264,8 +273,8 @@ def _cut(w, with_text):
     return scan
 
 
-def _removed(documents, carry, with_text, w, k):
-    found = ranges(documents, w, k).withColumnsRenamed({"id1": "i1", "id2": "i2"})
+def _removed(documents, carry, with_text, w, k, chunk):
+    found = ranges(documents, w, k, chunk).withColumnsRenamed({"id1": "i1", "id2": "i2"})
     rows = _identified(documents, [packed(documents.select(*[column(c) for c in carry]))])
     joined = rows.join(found, (F.col("id1") == F.col("i1")) & (F.col("id2") == F.col("i2")), "left"
                        ).select("row", "text", "covered")
@@ -277,15 +286,15 @@ def _removed(documents, carry, with_text, w, k):
 ADDED = ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
 
 
-def measure(documents, carry=("doc_id",), w=W, k=K):
+def measure(documents, carry=("doc_id",), w=W, k=K, chunk=CHUNK):
     """For every document what is removed, and the digest of what is kept."""
-    return unpacked(_removed(documents, list(carry), False, w, k), list(carry), added=ADDED)
+    return unpacked(_removed(documents, list(carry), False, w, k, chunk), list(carry), added=ADDED)
 
 
-def remove(documents, w=W, k=K):
+def remove(documents, w=W, k=K, chunk=CHUNK):
     """Documents without their repeated stretches, with the counts beside them."""
     rest = [c for c in documents.columns if c != "text"]
-    return unpacked(_removed(documents, rest, True, w, k), rest, added=["text", *ADDED])
+    return unpacked(_removed(documents, rest, True, w, k, chunk), rest, added=["text", *ADDED])
 
 
 def brute_force(texts, w=W):

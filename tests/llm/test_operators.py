@@ -486,3 +486,33 @@ def test_removed_bytes_equal_brute_force(documents, monkeypatch):
     assert repeats.measure(documents()).count() == 0
     cut = repeats.remove(documents(*texts))
     assert {r["doc_id"]: len(r["text"]) for r in cut.collect()}[51] == 0
+
+
+@pytest.mark.parametrize("chunk", [1000, 403])
+def test_texts_scanned_in_small_chunks_lose_the_same(documents, chunk):
+    shared, long = prose(1, 200), prose(2, 1500)
+    texts = list(ODD) + [(50, long + shared + long[:3000]), (51, prose(3, 700) + shared), (52, shared), (53, shared),
+                         (54, "ab" * 1500), (55, long[2000:2500] + "ü" + prose(4, 300))]
+    got = rows(repeats.measure(documents(*texts), chunk=chunk))
+    assert got == sorted([(i, *x) for (i, _), x in zip(texts, repeats.brute_force([t for _, t in texts]))], key=repr)
+
+
+def test_unlike_stretches_whose_hashes_collide_are_kept(documents):
+    """A Thue-Morse word of 1024 letters and its complement have one polynomial hash modulo 2^64, whatever the base."""
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    other = word.translate(str.maketrans("ab", "ba"))
+
+    def runs(text):
+        raw = np.frombuffer(text.encode(), np.uint8)
+        return repeats._runs(raw, np.array([0, len(raw)]), w=1100)
+
+    for seed in range(500):  # until the anchor lies in what both have in common
+        head, tail = prose(seed, 20)[:38], prose(1000 + seed, 20)[:38]
+        one, two = runs(head + word + tail), runs(head + other + tail)
+        if one[1][0] == two[1][0] <= 6:
+            break
+    assert one[4][0] == two[4][0] and one[5][0] == two[5][0] and one[6][0] != two[6][0]
+    texts = [(1, head + word + tail), (2, head + other + tail), (3, prose(7, 300)), (4, prose(7, 300))]
+    got = rows(repeats.measure(documents(*texts), w=1100))
+    assert got == sorted([(i, *x) for (i, _), x in zip(texts, repeats.brute_force([t for _, t in texts], w=1100))])
+    assert [r[2] for r in got[:2]] == [0, 0] and got[2][2] > 0
