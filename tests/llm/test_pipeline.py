@@ -1,4 +1,8 @@
+import random
+import re
+
 import corpus_pipeline
+import duckdb
 from texts import prose
 
 from tarmac.llm import decontaminate, jaccard, quality, secret_scan
@@ -40,3 +44,73 @@ def test_stages_on_nothing_and_on_nulls(spark, documents, tmp_path):
         for name, function in corpus_pipeline.STAGES:
             out = function(spark, docs, str(tmp_path))
             assert set(docs.columns) <= set(out.columns) and out.count() <= docs.count(), name
+
+
+def without_secrets(text):
+    """Every rule's matches by Python's own patterns, each covered stretch replaced by one mark."""
+    spans = sorted((m.start(), rank, m.end()) for rank, rule in enumerate(secret_scan.RULES)
+                   for m in re.finditer(rule.pattern, text) if len(m.group(rule.value)) >= rule.least)
+    out, at = "", 0
+    for start, _, end in spans:
+        if start >= at:
+            out += text[at:start] + secret_scan.MARK
+        at = max(at, end)
+    return out + text[at:]
+
+
+def shares(sizes):
+    """Targets by filling: weights 1, 2, 3 by source, what exceeds three times a source's size goes round again."""
+    names = sorted(sizes)
+    weight = {n: 1 + i % 3 for i, n in enumerate(names)}
+    target, open_, left = dict.fromkeys(names, 0.0), set(names), float(sum(sizes.values()))
+    while open_ and left > 1e-9:
+        unit, left = left / sum(weight[n] for n in open_), 0.0
+        for n in sorted(open_):
+            target[n] += unit * weight[n]
+            if target[n] >= 3 * sizes[n]:
+                left += target[n] - 3 * sizes[n]
+                target[n] = 3.0 * sizes[n]
+                open_.discard(n)
+    return target
+
+
+def test_run_equals_brute_force(spark, documents, tmp_path):
+    draw = random.Random(12)
+    leaked = [prose(700 + i, 12) for i in range(3)]
+    texts = {}
+    for i in range(90):
+        words = ("The " + " of the and to ".join(prose(i, 60).split())).split()
+        if i % 6 == 1:
+            words[20:20] = draw.choice(leaked).upper().split()
+        if i % 5 == 2:
+            words[30:30] = [draw.choice(["token='abcdef123456'", "xAKIA" + "Z9" * 10, "0af" * 9 + "0af password: 0af0af0af"])]
+        texts[i] = " ".join(words)
+    for i in range(60):  # copies, near copies, and junk
+        of = texts[draw.randrange(30)]
+        texts[200 + i] = [of, of + f" end{i}", "# $ % " * 40 + str(i)][i % 3]
+    docs = documents(*[(i, t, "en", "abc"[i % 3]) for i, t in texts.items()], (900, None), (901, ""))
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    items = [(i, t) for i, t in enumerate(leaked)] + [(9, None)]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+
+    db = duckdb.connect()
+    db.register("documents", docs.toArrow())
+    good = {i: texts[i] for i, in db.sql(f"SELECT doc_id FROM ({quality.ORACLE_SQL}) WHERE kept").fetchall()}
+    one = {i: good[i] for i, n, component in jaccard.brute_force(list(good.items())) if not n or i == component}
+    hits = decontaminate.brute_force(list(one.values()), items)
+    left = {i: without_secrets(t) for (i, t), (_, hit, *_) in zip(one.items(), hits) if not hit}
+    assert 90 > len(left) > 30 and len(one) < len(good) < len(texts) and any(secret_scan.MARK in t for t in left.values())
+
+    mixed = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    size = {i: len(t.split()) for i, t in left.items()}
+    by, copies = dict.fromkeys("abc", 0), {}
+    for i in size:
+        by["abc"[i % 3]] += size[i]
+    taken = dict.fromkeys("abc", 0)
+    for r in mixed:
+        assert r["text"] == left[r["doc_id"]] and r["n_chars"] == len(r["text"]) and r["source"] == "abc"[r["doc_id"] % 3]
+        copies[r["doc_id"]] = copies.get(r["doc_id"], 0) + 1
+        taken[r["source"]] += size[r["doc_id"]]
+    assert max(copies.values()) <= 3
+    # Whole documents are taken, so a source may miss its target by one of them.
+    assert all(abs(taken[n] - target) <= max(size.values()) for n, target in shares(by).items())
