@@ -218,6 +218,20 @@ def test_redacted_texts_hold_no_secret(documents):
             assert secret_scan.MARK in r["text"] and "0af0af" not in r["text"]
 
 
+def test_a_text_of_many_secrets_and_no_texts(documents):
+    text = "é " + " ".join(f"token=abc{i:05} AKIA{'B3' * 9}" for i in range(3000))
+    docs = documents((1, text), (2, text), (3, "x" * 200000))
+    got = {r["doc_id"]: r for r in secret_scan.digest(secret_scan.find(docs)).collect()}
+    want = sorted((m.start(), rank, m.end(), rule.kind) for rank, rule in enumerate(secret_scan.RULES)
+                  for m in re.finditer(rule.pattern, text) if len(m.group(rule.value)) >= rule.least)
+    listed = ",".join(f"{kind}:{start}:{end}" for start, _, end, kind in want)
+    assert got[1]["spans"] == got[2]["spans"] == listed and got[3]["spans"] == ""
+    assert got[1]["n_assign"] == got[1]["n_access"] == 3000
+    assert got[1]["base_sha256"] == hashlib.sha256(listed.encode()).hexdigest()
+    assert secret_scan.redact(docs).where("doc_id = 1").first()["text"] == "é" + f" {secret_scan.MARK}" * 6000
+    assert secret_scan.find(documents()).count() == 0 and secret_scan.redact(documents()).count() == 0
+
+
 # --- n-gram join ------------------------------------------------------------------------------
 
 def test_join_finds_the_components_of_brute_force(documents):
@@ -448,6 +462,16 @@ def test_hits_equal_brute_force_and_sql(spark, documents, slice_windows):
     assert decontaminate.find(spans, benchmark).where("size(runs) > 0").count() == 0 and spans.count() == len(texts)
 
 
+def test_no_documents_no_benchmark_and_a_long_text(spark, documents):
+    none = spark.createDataFrame([], "item_id long, text string")
+    some = spark.createDataFrame([(1, prose(1, 12))], "item_id long, text string")
+    assert decontaminate.find(documents(), some).count() == 0
+    assert not any(r["contaminated"] for r in decontaminate.digest(decontaminate.find(documents(*ODD), none)).collect())
+    text = "word " * 200000 + prose(1, 12) + " end" * 1000
+    row = decontaminate.digest(decontaminate.find(documents((1, text)), some)).first()
+    assert (row["n_words"], row["n_hit"], row["n_items"]) == (201012, 12, 1)
+
+
 # --- hosts ------------------------------------------------------------------------------------
 
 def test_domains_below_public_suffixes(spark):
