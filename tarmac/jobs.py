@@ -14,6 +14,7 @@ from tarmac.functions.periods import month_list, monthly_paths
 from tarmac.operators import clean, model
 from tarmac.plans import load, training
 from tarmac.plans.warehouse import Warehouse
+from tarmac.session import keep_methods_compiled
 from tarmac.sources.raw import (
     read_airline_reference, read_airport_reference, read_flight_files,
 )
@@ -74,6 +75,7 @@ def arguments(argv=None):
 
 
 def run(spark, args):
+    keep_methods_compiled(spark)
     if args.command == "load":
         warehouse = Warehouse(spark, args.warehouse)
         load.ensure_calendar(warehouse)
