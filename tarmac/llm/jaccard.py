@@ -43,15 +43,16 @@ def _sets(part, n, text="text"):
     rows = np.repeat(np.arange(part.num_rows), counts)
     grams = tokens.ngrams(h, n)
     whole = rows[:len(grams)] == rows[len(h) - len(grams):] if len(grams) else np.zeros(0, bool)
-    row, gram = [rows[:len(grams)][whole]], [grams[whole]]
+    sizes = np.where(counts >= n, counts - n + 1, np.minimum(counts, 1))
+    ends = np.cumsum(sizes)
+    row, gram = np.repeat(np.arange(part.num_rows), sizes), np.empty(int(sizes.sum()), np.uint64)
+    gram[np.repeat(counts >= n, sizes)] = grams[whole]
     for k in range(1, n):
         short = np.flatnonzero(counts == k)
         if len(short):
-            row.append(short)
-            gram.append(tokens.ngrams(h, k)[first[short]])
-    row, gram = np.concatenate(row), np.concatenate(gram)
-    order = np.lexsort((gram, row))
-    row, gram = row[order], gram[order]
+            gram[ends[short] - 1] = tokens.ngrams(h, k)[first[short]]
+    for i in np.flatnonzero(sizes > 1).tolist():
+        gram[ends[i] - sizes[i]:ends[i]].sort()
     new = np.ones(len(row), bool)
     new[1:] = (row[1:] != row[:-1]) | (gram[1:] != gram[:-1])
     row, gram = row[new], gram[new]
@@ -102,14 +103,15 @@ def _prefixes(n, percent, seed, frequency):
                     if sizes[i] and x not in seen:
                         seen.add(x)
                         fresh[i] = True
-                take = fresh[row]
-                row, gram = row[take], gram[take]
-                order = np.lexsort((gram, frequency.value[(gram >> SHIFT).astype(np.int64)], row))
-                row, gram = row[order], gram[order]
-                heads = np.searchsorted(row, np.arange(part.num_rows))
-                place = np.arange(len(row)) - heads[row]
-                keep = place < (sizes - -(-percent * sizes // 100) + 1)[row]
-                row, gram, place = row[keep], gram[keep], place[keep]
+                often = frequency.value[(gram >> SHIFT).astype(np.int64)]
+                heads = np.cumsum(sizes) - sizes
+                lengths = np.where(fresh, sizes - -(-percent * sizes // 100) + 1, 0)
+                # Sets are sorted by hash: sorting by frequency must keep that order among equals.
+                order = [heads[i] + np.argsort(often[heads[i]:heads[i] + sizes[i]], kind="stable")[:lengths[i]]
+                         for i in np.flatnonzero(fresh).tolist()]
+                gram = gram[np.concatenate(order)] if order else gram[:0]
+                row = np.repeat(np.arange(part.num_rows), lengths)
+                place = np.arange(len(row)) - (np.cumsum(lengths) - lengths)[row]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(gram.view(np.int64)), pa.array(node[row]),
                      pa.array(sizes[row].astype(np.int32)), pa.array(place.astype(np.int32))],
@@ -207,8 +209,9 @@ class Join:
         texts = self.texts.select("text")
         frequency = summed_counters(texts, WIDTH, _count(self.n))
         shared = spark.sparkContext.broadcast(frequency)
-        rows = texts.mapInArrow(_prefixes(self.n, self.percent, self.seed, shared),
-                                "gram long, node long, size int, place int")
+        # Read twice below: stored, so that texts are cut and sorted once.
+        rows = stored(texts.mapInArrow(_prefixes(self.n, self.percent, self.seed, shared),
+                                       "gram long, node long, size int, place int"), "first")
         often = (rows.groupBy("gram").agg(F.count("*").alias("k")).where("k > 1")
                  .select(F.col("gram").alias("often")))
         # Equal texts of different tasks leave equal rows; distinct() makes them one.

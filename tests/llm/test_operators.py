@@ -5,6 +5,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from texts import prose
 from pyspark.sql import functions as F
@@ -273,6 +274,22 @@ def test_join_of_nothing(documents):
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
 
+def test_jaccard_cuts_texts_once_for_its_prefixes(spark, documents, monkeypatch):
+    """The rows of the prefix n-grams are stored once, though counted and joined; sets come sorted, each n-gram once."""
+    from tarmac.llm import common
+    batch = pa.RecordBatch.from_pydict({"text": [None, "b a", "a b c d e a b c d e f", "", "x " * 9, "a b c d e"]})
+    row, gram, sizes = jaccard._sets(batch, 5)
+    assert sizes.tolist() == [0, 1, 7 - 1, 0, 1, 1] and row.tolist() == [1] + [2] * 6 + [4, 5]
+    assert all(a < b for i, a, j, b in zip(row[:-1], gram[:-1], row[1:], gram[1:]) if i == j)
+    assert gram[-1] in gram[1:7]
+    kept = []
+    monkeypatch.setattr(jaccard, "stored", lambda df, purpose: kept.append((purpose, df)) or common.stored(df, purpose))
+    jaccard.Join(documents((1, "a b c d e f g"), (2, "a b c d e f h"))).prefixes()
+    scans = [purpose for purpose, df in kept if "mapInArrow" in df._jdf.queryExecution().logical().toString()
+             or "MapInArrow" in df._jdf.queryExecution().logical().toString()]
+    assert scans == ["first"]
+
+
 def test_counts_after_edits_equal_counts_from_scratch():
     count = token_counts.encoder(VOCABULARY)
     draw = random.Random(1)
