@@ -238,3 +238,22 @@ def test_reference_names_are_stored(spark, warehouse, january, tmp_path):
         "JFK": ("Kennedy", "NYC"), "LAX": (None, None), "SFO": (None, None)}
     assert {r.carrier_code: r.carrier_name for r in warehouse.carriers().collect()} == {
         "AA": "American", "DL": None}
+
+
+def test_a_delivery_of_many_months_leaves_few_files(spark, warehouse, tmp_path, monkeypatch):
+    """Tasks that read the delivered facts back hold a few months each: without that, each one writes every month."""
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    write_csv(landing / "a.csv", [
+        raw_row(FlightDate=f"2023-{month:02d}-{day:02d}", Month=str(month), DayofMonth=str(day))
+        for month in range(1, 13) for day in range(1, 21)])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ingest.ingest_stream(warehouse, str(landing), str(tmp_path / "progress"), refresh=False)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    facts = warehouse.facts()
+    assert {(r.month, r.n) for r in facts.groupBy("month").agg(F.count("*").alias("n")).collect()} == {
+        (month, 20) for month in range(1, 13)}
+    assert facts.select("flight_id").distinct().count() == 240
+    assert len(facts.inputFiles()) == 12
