@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import stored
+from tarmac.llm.common import drop, stored
 
 
 def connected(links):
@@ -11,26 +11,29 @@ def connected(links):
     Large-star and small-star steps in turn: nodes hang on the smallest node they know until every
     component is a star. Minima are aggregated by key and joined back, so a node with any number
     of links is a skewed key of a join, not a group in memory. Steps go on until none changes a link;
-    their number grows with the logarithm of the longest chain.
+    their number grows with the logarithm of the longest chain. Of the tables of the rounds only the one returned stays.
     """
-    edges = stored(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                   .where("a <> b").distinct(), "links")
+    edges = stored(links.select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("root"))
+                   .where("node <> root").distinct(), "links")
     state = None
     while True:
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        both = edges.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(
+            edges.select(F.col("root").alias("a"), F.col("node").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("low")).select(
             F.col("a").alias("u"), F.least("a", "low").alias("low"))
         large = (both.join(least, F.col("a") == F.col("u")).where("b > a")
                  .select(F.col("b").alias("a"), F.col("low").alias("b")).where("a <> b").distinct())
         large = stored(large, "large-star")
+        drop(edges)
         low = large.groupBy("a").agg(F.min("b").alias("low")).withColumnRenamed("a", "u")
         small = large.join(low, F.col("a") == F.col("u"))
-        edges = stored(small.select("a", F.col("low").alias("b")).unionByName(
-            small.select(F.col("b").alias("a"), F.col("low").alias("b")))
-            .where("a <> b").distinct(), "small-star")
-        now = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
+        edges = stored(small.select(F.col("a").alias("node"), F.col("low").alias("root")).unionByName(
+            small.select(F.col("b").alias("node"), F.col("low").alias("root")))
+            .where("node <> root").distinct(), "small-star")
+        drop(large)
+        now = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("node", "root").cast("decimal(38,0)"))
                         .alias("sum")).first()
         if state == now:
             break
         state = now
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    return edges

@@ -16,7 +16,8 @@
 Texts with fewer words than n are one n-gram; without words the set is empty and linked with
 nothing. Null texts are empty. Rows of equal text are in one component; null doc_ids count in
 sizes but name no component, so a component of only such rows has a null id. An empty table gives no rows.
-Extra columns are kept by `keep_one`; the digest has its own columns only.
+Extra columns are kept by `keep_one`; the digest has its own columns only. Intermediate tables and shuffle files go as soon
+as they have been read for the last time; what a lazy result reads stays.
 """
 
 import numpy as np
@@ -25,8 +26,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tarmac.llm import tokens
-from tarmac.llm.common import column, packed, pieces, stored, summed_counters, unpacked, utf8
+from tarmac.llm.common import column, drop, packed, pieces, stored, summed_counters, unpacked, utf8
 from tarmac.llm.components import connected
+from tarmac.session import shuffles_removed
 
 N = 5
 PERCENT = 80
@@ -194,14 +196,15 @@ class Join:
             key.alias(name) for key, name in zip(keys, self.named[1:])], column("text").alias("text"))
 
     def described(self):
-        """(doc_id, keys, size, node) of every document; another seed where two sets share a node."""
+        """(doc_id, keys, size, node, check) of every document; another seed where two sets share a node."""
         kinds = ", ".join(f"{c} {self.texts.schema[c].dataType.simpleString()}" for c in self.named)
         while True:
             df = stored(self.texts.mapInArrow(_described(self.n, self.seed),
                                               f"{kinds}, size long, node long, check long"), "sets")
             clash = df.groupBy("node").agg(F.min("check").alias("x"), F.max("check").alias("y"))
             if clash.where("x <> y").isEmpty():
-                return df.select(*self.named, "size", "node")
+                return df
+            drop(df)
             self.seed += 1
 
     def prefixes(self):
@@ -217,10 +220,13 @@ class Join:
         # Equal texts of different tasks leave equal rows; distinct() makes them one.
         shared_ = stored(rows.join(often, F.col("gram") == F.col("often"), "left_semi").distinct(),
                          "shared")
+        drop(rows)
         own = Window.partitionBy("node")
-        return stored(shared_.withColumns({
+        out = stored(shared_.withColumns({
             "before": F.row_number().over(own.orderBy("place")) - 1,
             "share": F.count("*").over(own) / F.col("size")}), "prefixes")
+        drop(shared_)
+        return out
 
     def links(self, pairs):
         """The pairs (a < b) that overlap enough."""
@@ -235,18 +241,20 @@ class Join:
         wanted = summed_counters(ends, WIDTH, mark) > 0
         shared = self.documents.sparkSession.sparkContext.broadcast(wanted)
         sets = stored(self.texts.select("text").mapInArrow(
-            _wanted_sets(self.n, self.seed, shared), "node long, grams binary, ranges binary"),
-            "wanted").dropDuplicates(["node"])
+            _wanted_sets(self.n, self.seed, shared), "node long, grams binary, ranges binary"), "wanted")
+        once = sets.dropDuplicates(["node"])
 
         def both(df, name):
             for end in ("a", "b"):
-                side = sets.select(F.col("node").alias("key"), F.col(name).alias(f"{name}_{end}"))
+                side = once.select(F.col("node").alias("key"), F.col(name).alias(f"{name}_{end}"))
                 df = df.join(side, F.col(end) == F.col("key")).drop("key")
             return df
 
         close = both(pairs, "ranges").mapInArrow(_suffix_filter(self.percent), "a long, b long")
         close = stored(close, "close")
-        return stored(both(close, "grams").mapInArrow(_verify(self.percent), "a long, b long"), "links")
+        out = stored(both(close, "grams").mapInArrow(_verify(self.percent), "a long, b long"), "links")
+        drop(pairs, sets, close)
+        return out
 
     def roots(self):
         """(node, root) of the nodes that are linked to others."""
@@ -267,6 +275,7 @@ class Join:
                           ).select("gram", "node", "size", "place", "before",
                                    F.coalesce("root", "node").alias("root"))
         named = stored(named, "named")
+        drop(rows)
         mixed = (named.groupBy("gram", "root").agg(F.count("*").alias("n"))
                  .groupBy("gram").agg(F.max(F.struct("n", "root")).alias("main"), F.count("*").alias("k"))
                  .where("k > 1").select(F.col("gram").alias("g"), F.col("main.root").alias("main")))
@@ -280,18 +289,24 @@ class Join:
                          & ((F.col("root2") == F.col("main2")) | (F.col("node") < F.col("node2")))
                          & _possible(self.percent))
         second = self.links(meet.select(F.col("node").alias("a"), F.col("node2").alias("b")))
-        if second.isEmpty():
-            return roots
-        return connected(first.unionByName(second))
+        drop(named)
+        if not second.isEmpty():
+            drop(roots)
+            roots = connected(first.unionByName(second))
+        drop(first, second)
+        return roots
 
     def rooted(self):
         """(doc_id, keys, n_shingles, root) of every document; null roots are those of empty sets."""
-        docs = self.described()
-        roots = self.roots()
-        named = docs.join(roots.withColumnRenamed("node", "k"), F.col("node") == F.col("k"), "left").select(
-            *self.named, F.col("size").alias("n_shingles"),
-            F.when(F.col("size") > 0, F.coalesce("root", "node")).alias("root"))
-        return stored(named, "rooted")
+        with shuffles_removed(self.documents.sparkSession):
+            docs = self.described()
+            roots = self.roots()
+            named = docs.join(roots.withColumnRenamed("node", "k"), F.col("node") == F.col("k"), "left").select(
+                *self.named, F.col("size").alias("n_shingles"),
+                F.when(F.col("size") > 0, F.coalesce("root", "node")).alias("root"))
+            out = stored(named, "rooted")
+        drop(docs, roots)
+        return out
 
     def result(self):
         """(doc_id, n_shingles, component_id) of every document."""
@@ -326,6 +341,7 @@ def keep_one(documents, n=N, percent=PERCENT):
         F.col("doc_id").isNull().alias("none"), "doc_id", "key0")).alias("first")).select(
         F.col("first.key0").alias("chosen"))
     chosen = stored(chosen, "chosen")
+    drop(found)
     rows = documents.select(packed(documents), row_key().alias("key"),
                             F.regexp_like(F.coalesce(column("text"), F.lit("")),
                                           F.lit(r"[^\x20\x09-\x0D]")).alias("has_words"))

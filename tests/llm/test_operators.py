@@ -1,4 +1,5 @@
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -15,6 +16,7 @@ from tarmac.llm import (
     toxicity, trigrams,
 )
 from tarmac.llm.common import ship_code, utf8
+from tarmac.session import SHUFFLES_END, work_folder
 from verification.compare import difference
 
 ODD = [(1, None), (2, ""), (3, " \n\t"), (4, "ä" * 30), (None, "eins zwei"), (4, "ä" * 30), (5, "a b c d e f g h i j k")]
@@ -290,6 +292,21 @@ def test_jaccard_cuts_texts_once_for_its_prefixes(spark, documents, monkeypatch)
     assert scans == ["first"]
 
 
+@pytest.mark.parametrize("find, stays", [(jaccard.join, {"rooted"}), (jaccard.keep_one, {"chosen"})])
+def test_jaccard_leaves_only_what_its_result_reads(spark, documents, find, stays):
+    work_folder(spark, "x")  # a session's first call chooses the folder
+    root = work_folder(spark, "x").rsplit("/", 1)[0].removeprefix("file:")
+    before, setting = set(os.listdir(root)), spark.conf.get(SHUFFLES_END, "false")
+    long = [prose(i, 40) for i in range(4)]
+    texts = [(10 * i + j, t + f" end{j}" * (j > 0)) for i, t in enumerate(long) for j in range(3)] + [(90, ""), (91, None)]
+    got = find(documents(*texts))
+    left = set(os.listdir(root)) - before
+    assert {p.rsplit("-", 1)[0] for p in left} == stays and len(left) == len(stays)
+    assert spark.conf.get(SHUFFLES_END, "false") == setting
+    ids = {0, 10, 20, 30, 90, 91}
+    assert {r["component_id" if find is jaccard.join else "doc_id"] for r in got.collect()} == ids
+
+
 def test_counts_after_edits_equal_counts_from_scratch():
     count = token_counts.encoder(VOCABULARY)
     draw = random.Random(1)
