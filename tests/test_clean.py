@@ -139,3 +139,14 @@ def test_clean_measures_stay_wide(raw):
     assert row.distance_miles == Decimal("99999999.5")
     assert dict(raw(raw_row()).transform(clean.clean_flights).dtypes)["distance_miles"] == (
         schema.CLEAN_MEASURE.simpleString())
+
+
+def test_only_texts_that_may_be_whole_numbers_are_cast(spark):
+    """A failing cast costs an exception; the guard before it lets every text through that casts."""
+    texts = ["0100", " 7", "+5", "-3", "\t8\n", "\x7f9", "12B", "12-3", "1.5", "1e3", "", "+", "٣", "9" * 30, "5 6", None]
+    df = spark.createDataFrame([(t,) for t in texts], "flight_number string")
+    number = F.col("flight_number")
+    want = df.select(number.alias("t"), F.coalesce(number.try_cast("bigint").cast("string"), number).alias("n"))
+    got = clean.cast_columns(df.withColumn("t", number))
+    assert {r.t: r.flight_number for r in got.collect()} == {r.t: r.n for r in want.collect()}
+    assert "RLIKE" in got._jdf.queryExecution().optimizedPlan().toString()

@@ -257,3 +257,22 @@ def test_a_delivery_of_many_months_leaves_few_files(spark, warehouse, tmp_path,
         (month, 20) for month in range(1, 13)}
     assert facts.select("flight_id").distinct().count() == 240
     assert len(facts.inputFiles()) == 12
+
+
+@pytest.mark.parametrize("few", [1 << 20, 0])
+def test_rows_without_a_duplicate_are_not_shuffled(spark, raw, tmp_path, monkeypatch, few):
+    from tarmac.operators import clean
+    monkeypatch.setattr(load, "FEW_AGAIN", few)
+
+    def stored(name, *rows):
+        raw(*rows).transform(clean.standardise).write.parquet(str(tmp_path / name))
+        return spark.read.parquet(str(tmp_path / name))
+
+    once = stored("once", raw_row(), raw_row(Dest="SFO"), raw_row(FlightDate=""))
+    plan = load._without_duplicates(once, ["input_order"], str(tmp_path / "a"))._jdf.queryExecution().toString()
+    assert "Window" not in plan and "Exchange" not in plan
+    twice = stored("twice", raw_row(), raw_row(ArrDelay="22.00"), raw_row(Dest="SFO"), raw_row(FlightDate="", ArrDelay="1"),
+                   raw_row(FlightDate="", ArrDelay="2"), raw_row(Origin="", Dest="SFO"))
+    got = load._without_duplicates(twice, ["input_order"], str(tmp_path / "b"))
+    want = twice.transform(clean.remove_duplicates)
+    assert got.count() == 4 and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))

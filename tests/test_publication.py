@@ -191,3 +191,22 @@ def test_a_year_without_flights_and_months_without_delays(warehouse, january):
     assert load.refresh_summaries(warehouse, [2022, 2023], sketches=True) == {}
     assert {r.year for r in warehouse.read("mv_carrier_performance").collect()} == {2023}
     assert warehouse.read("mv_carrier_performance").filter("avg_delay_min is not null").count() == 0
+
+
+def test_months_are_merged_some_at_a_time(spark, warehouse, january, tmp_path, monkeypatch):
+    """However many months a delivery touches, the rows of some of them are shuffled at once; all appear together."""
+    warehouse.replace_months(months(january, 1, 2, 3).transform(wh.with_flight_id))
+    fresh = months(late(january, spark, tmp_path), 1, 2, 3, 4)
+    want = sorted((r.month, r.flight_number, r.arrival_delay_min) for r in wh.merged(warehouse.facts(), fresh).collect()
+                  if r.flight_number is not None)
+    assert warehouse._at_once([(2023, m) for m in range(1, 5)]) == [[(2023, m) for m in range(1, 5)]]
+    monkeypatch.setattr(wh, "MERGED_AT_ONCE", 1)
+    # Nothing is stored of the fourth month.
+    assert warehouse._at_once([(2023, m) for m in range(1, 5)]) == [[(2023, 1)], [(2023, 2)], [(2023, 3)], [(2023, 4)]]
+    before = spark.read.parquet(warehouse.path("_published")).count()
+    assert warehouse.merge_months(fresh) == [(2023, m) for m in range(1, 5)]
+    assert sorted((r.month, r.flight_number, r.arrival_delay_min) for r in warehouse.facts().collect()
+                  if r.flight_number is not None) == want
+    assert spark.read.parquet(warehouse.path("_published")).groupBy("seq").count().count() == 2
+    assert spark.read.parquet(warehouse.path("_published")).count() == before + 4
+    assert warehouse.facts().select("flight_id").distinct().count() == warehouse.facts().count()
