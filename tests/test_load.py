@@ -276,3 +276,13 @@ def test_rows_without_a_duplicate_are_not_shuffled(spark, raw, tmp_path, monkeyp
     got = load._without_duplicates(twice, ["input_order"], str(tmp_path / "b"))
     want = twice.transform(clean.remove_duplicates)
     assert got.count() == 4 and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_deliveries_of_the_queries_land_compressed(spark, tmp_path):
+    """As plain text they were the largest part of what an ingest had on disk."""
+    from verification import jobs as queries
+    for _ in range(2):
+        queries._land(spark.range(3).selectExpr("cast(id as string) as a"), str(tmp_path / "landing"))
+    files = [p.name for p in (tmp_path / "landing").iterdir() if p.name.startswith("part-")]
+    assert files and all(f.endswith(".csv.gz") for f in files)
+    assert spark.read.csv(str(tmp_path / "landing"), header=True).count() == 6
