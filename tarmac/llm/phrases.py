@@ -5,10 +5,10 @@
   Spark's ROLLUP over the window's columns gives the counts of all shorter phrases, of the words, and of
   all words of a language.
 * Most windows occur once or twice. A first pass adds up how often the two-, three- and four-word phrases of each
-  language occur, in one counter table of fixed width that phrases share by hash, so a counter is never below
+  language occur, in one counter table that phrases share by hash, so a counter is never below
   the count of any of its phrases. Where it is below the least count asked for, a window is padded from there on: no
-  phrase that occurs often enough loses an occurrence. On a corpus so large that every counter is full, windows
-  stay whole and the result is the same.
+  phrase that occurs often enough loses an occurrence. The table grows with the text up to a largest width. On a corpus
+  so large that every counter is full, windows stay whole and the result is the same.
 * Within a task, equal windows of a slice are counted by codes of the words themselves, not by hashes.
 * Cuts join a phrase to its two parts. A phrase is dropped if a longer one keeps most of its occurrences:
   longer phrases name the shorter ones they hold, and the largest count for each is joined back.
@@ -24,12 +24,15 @@ from pyspark.sql import functions as F
 
 from tarmac.llm import tokens
 from tarmac.llm.common import column, pieces, stored, utf8
+from tarmac.session import shuffles_removed
 
 LONGEST = 4
 LEAST = 30
 TOP = 2000
 HELD = 80
-WIDTH = 1 << 24
+WIDTH, WIDEST = 1 << 24, 1 << 27
+TEXT_BYTES = 64  # of the corpus, for each counter
+CLIPPED = 1 << 15
 SHARE = 1 << 18
 SALTS = 64
 CHUNK = 1 << 20
@@ -92,14 +95,18 @@ def often(texts, least, width):
     assert 0 < least < 128
 
     def count(batches):
-        counters = np.zeros(width, np.int32)
+        counters = np.zeros(width, np.uint16)
         seen = 0
         for batch in batches:
             for n, h, piece, row, *_ in _slices(batch):
                 for whole, at in _heads(n, h, piece, row, LONGEST):
-                    np.add.at(counters, at[whole] % width, 1)
+                    places = at[whole] % width
+                    for i in range(0, len(places), CLIPPED):  # cut in time, so that none overflows
+                        some = places[i:i + CLIPPED]
+                        np.add.at(counters, some, 1)
+                        counters[some] = np.minimum(counters[some], least)
                 seen += n
-        counters = np.minimum(counters, least).astype(np.uint8)
+        counters = counters.astype(np.uint8)
         if seen:
             for i in range(0, width, SHARE):
                 yield pa.RecordBatch.from_arrays(
@@ -117,7 +124,9 @@ def often(texts, least, width):
     shape = "share long, salt long, counts binary"
     sums = texts.mapInArrow(count, shape).groupBy("share", "salt").applyInArrow(total, shape)
     flags = np.zeros(width, bool)
-    for row in sums.groupBy("share").applyInArrow(total, shape).toLocalIterator():
+    with shuffles_removed(texts.sparkSession):  # else what the tasks sent lies beside the windows
+        rows = sums.groupBy("share").applyInArrow(total, shape).collect()  # `width` bytes, whatever the corpus
+    for row in rows:
         part = np.frombuffer(row["counts"], np.uint8)[:width - row["share"]]
         flags[row["share"]:row["share"] + len(part)] = part >= least
     return np.packbits(flags)
@@ -138,7 +147,11 @@ def _spelled(data, starts, ends):
 def _windows(flags, width):
     """(lang, w1, ..., w4, n): windows of a slice, padded, each with its number of places."""
     def scan(batches):
-        frequent = np.unpackbits(flags.value).astype(bool)
+        packed = flags.value  # eight flags a byte, as it came: tasks hold no copy of their own
+
+        def frequent(at):
+            return (packed[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+
         for batch in batches:
             for n, h, piece, row, lang, names, data, starts, ends in _slices(batch):
                 spelled = _spelled(data, starts, ends).dictionary_encode()
@@ -150,7 +163,7 @@ def _windows(flags, width):
                 codes = [word[:n] + 1]
                 for k, (whole, at) in enumerate(_heads(n, h, piece, row, LONGEST), 2):
                     shorter = alive
-                    alive = shorter & whole & frequent[at % width]
+                    alive = shorter & whole & frequent(at % width)
                     if k > 2:  # a frequent phrase holds a frequent one from its second word on
                         alive[:-1] &= shorter[1:]
                     following = np.zeros(n, np.int64)
@@ -168,10 +181,20 @@ def _windows(flags, width):
     return scan
 
 
-def counts(documents, least=LEAST, width=WIDTH):
+def fitting(texts):
+    """A width for the counters of all phrases, by the bytes of the texts."""
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    width = WIDTH
+    while width < min(WIDEST, size / TEXT_BYTES):
+        width *= 2
+    return width
+
+
+def counts(documents, least=LEAST, width=None):
     """(lang, size, phrase, w1, ..., w4, f): the words and phrases that occur often enough; size 0 is the language."""
     texts = documents.select(F.coalesce(column("lang").cast("string"), F.lit(NO_LANG)).alias("lang"),
                              F.coalesce(column("text"), F.lit("")).alias("text"))
+    width = width or fitting(texts)
     flags = documents.sparkSession.sparkContext.broadcast(often(texts, least, width))
     shape = "lang string, " + ", ".join(f"{c} string" for c in COLUMNS) + ", n long"
     windows = texts.mapInArrow(_windows(flags, width), shape).groupBy("lang", *COLUMNS).agg(F.sum("n").alias("n"))
@@ -182,7 +205,8 @@ def counts(documents, least=LEAST, width=WIDTH):
         padded = padded | ((F.col("size") >= k) & F.col(f"w{k}").isNull())
     kept = (rolled.where(F.col("rolled") < 2 ** (LONGEST + 1) - 1).withColumn("size", size)
             .where(~padded & ((F.col("size") == 0) | (F.col("f") >= least))))
-    return stored(kept.select("lang", "size", F.concat_ws(" ", *COLUMNS).alias("phrase"), *COLUMNS, "f"), "phrases")
+    with shuffles_removed(documents.sparkSession):
+        return stored(kept.select("lang", "size", F.concat_ws(" ", *COLUMNS).alias("phrase"), *COLUMNS, "f"), "phrases")
 
 
 def _exact(c):
@@ -203,7 +227,8 @@ def scored(frequent):
     cuts = cuts.withColumn("score", F.expr(
         "(cast(a as decimal(20,0)) * cast(2000000 as decimal(7,0))) div (cast(l as decimal(20,0)) + cast(r as decimal(20,0)))"))
     lowest = cuts.groupBy("lang", "size", "phrase", "words", "a").agg(F.min(F.struct("score", "k", "l", "r")).alias("cut"))
-    return stored(lowest.select("lang", "size", "phrase", "words", "a", "cut.l", "cut.r", "cut.score"), "scored")
+    with shuffles_removed(frequent.sparkSession):
+        return stored(lowest.select("lang", "size", "phrase", "words", "a", "cut.l", "cut.r", "cut.score"), "scored")
 
 
 def standing(candidates, held=HELD):
@@ -218,7 +243,7 @@ def standing(candidates, held=HELD):
         "of", "inside", "most")
 
 
-def mine(documents, least=LEAST, top=TOP, held=HELD, width=WIDTH):
+def mine(documents, least=LEAST, top=TOP, held=HELD, width=None):
     """(lang, rank, phrase, a, l, r, n, score): the first `top` phrases of each language."""
     frequent = counts(documents, least, width)
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]

@@ -73,3 +73,30 @@ def test_ties_and_scores_beyond_64_bits(spark):
 def test_no_documents(documents):
     assert phrases.mine(documents()).count() == 0
     assert phrases.mine(documents((1, None), (2, " ,;\n"), (3, prose(1, 50)))).count() == 0
+
+
+def test_counters_grow_with_the_text(spark, monkeypatch):
+    """A table of one width is full on a large corpus, and then no window is padded."""
+    texts = spark.range(40).selectExpr("repeat('a', 100) as text")
+    assert phrases.fitting(texts) == phrases.WIDTH
+    monkeypatch.setattr(phrases, "WIDTH", 8)
+    assert phrases.fitting(texts) == 64  # 4,000 bytes
+    monkeypatch.setattr(phrases, "WIDEST", 32)
+    assert phrases.fitting(texts) == 32
+    assert phrases.fitting(texts.limit(0)) == 8
+
+
+def test_counters_do_not_overflow(spark):
+    """One phrase more often than a counter of two bytes can hold, in one slice."""
+    docs = spark.createDataFrame([("x " * 140_000 + "y z", "en")], "text string, lang string")
+    flags = np.unpackbits(phrases.often(docs, 30, 1 << 12)).astype(bool)
+    assert 1 <= flags.sum() <= 3  # x x, x x x, x x x x; the others occur once
+
+
+def test_shuffles_go_before_the_next_step(spark, monkeypatch):
+    from tarmac.session import SHUFFLES_END
+    seen, keep = [], phrases.stored
+    monkeypatch.setattr(phrases, "stored", lambda df, name: seen.append((name, spark.conf.get(SHUFFLES_END, "false"))) or keep(df, name))
+    docs = spark.createDataFrame([("a b c", "en")] * 40, "text string, lang string")
+    assert phrases.mine(docs).count() > 0
+    assert seen == [("phrases", "true"), ("scored", "true")]
